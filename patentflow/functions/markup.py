@@ -12,9 +12,17 @@ IPC_CLOSE = "</classifications-ipcr>"
 
 
 def after(text: Column, marker: str) -> Column:
-    """Text behind the first marker, '' when there is none."""
-    at = F.locate(marker, text)
-    return F.when(at == 0, "").otherwise(F.substr(text, at + F.lit(len(marker))))
+    """Text behind the first marker, '' when there is none.
+
+    The one-element transform names the text, so that nested calls evaluate it once and not once
+    per mention.
+    """
+
+    def rest(named: Column) -> Column:
+        at = F.locate(marker, named)
+        return F.when(at == 0, "").otherwise(F.substr(named, at + F.lit(len(marker))))
+
+    return F.get(F.transform(F.array(text), rest), F.lit(0))
 
 
 def before(text: Column, marker: str) -> Column:

@@ -14,7 +14,8 @@ def fit_dictionary(df: DataFrame, lists: Iterable[str]) -> DataFrame:
     """Ids of the distinct values of some list columns, numbered in the order of the values.
 
     Numbering runs per two-character prefix and adds the size of all smaller prefixes, so no task
-    sorts the whole vocabulary.
+    sorts the whole vocabulary. With a left join both uses of the distinct values keep the same
+    plan and share one exchange.
     """
     values = df.select(F.explode(F.concat(*lists)).alias("value")).distinct()
     values = values.withColumn("prefix", F.substring("value", 1, 2))
@@ -22,7 +23,7 @@ def fit_dictionary(df: DataFrame, lists: Iterable[str]) -> DataFrame:
     smaller = F.sum("size").over(Window.orderBy("prefix")) - F.col("size")
     offsets = sizes.select("prefix", smaller.alias("offset"))
     position = F.row_number().over(Window.partitionBy("prefix").orderBy("value"))
-    numbered = values.withColumn("position", position).join(offsets, "prefix")
+    numbered = values.withColumn("position", position).join(offsets, "prefix", "left")
     return numbered.select("value", (F.col("offset") + F.col("position") - 1).cast("int").alias("id"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patentflow.schemas import ARCHIVE_BLOBS
+from patentflow.sources.tables import read_table
 
 BASE_NAME = "'EP' || lpad(cast(doc_id AS string), 8, '0') || '.xml'"
 
@@ -52,12 +53,8 @@ KNOWN_SQL = f"SELECT {BASE_NAME} AS base_name FROM labels WHERE quality = 1"
 ARCHIVE_BYTES = 4 << 20
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents")
+    return read_table(spark, f"{sf_dir}/documents.parquet")
 
 
 def patents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,11 +64,11 @@ def patents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def known(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(KNOWN_SQL.replace("FROM labels", "FROM {labels}"),
-                     labels=_table(spark, sf_dir, "labels"))
+                     labels=spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "pages").select(F.col("url").alias("value"))
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select(F.col("url").alias("value"))
 
 
 def packed(docs: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:

@@ -203,9 +203,13 @@ def join_anti_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labeling.first_others(docs, corpus.known(spark, sf_dir))
 
 
+def _codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The code lists as a narrow table, for queries that read them several times."""
+    return stage(patents.extract_codes(corpus.patents(spark, sf_dir)))
+
+
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = stage(patents.extract_codes(corpus.patents(spark, sf_dir)))
-    return labeling.label(codes, corpus.known(spark, sf_dir))
+    return labeling.label(_codes(spark, sf_dir), corpus.known(spark, sf_dir))
 
 
 @query
@@ -240,7 +244,7 @@ def dict_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded with dictionaries of the known positives, so some codes are unseen."""
-    codes = patents.extract_codes(corpus.patents(spark, sf_dir))
+    codes = _codes(spark, sf_dir)
     seen = labeling.positives(codes, corpus.known(spark, sf_dir))
     dictionaries = {name: stage(ids) for name, ids in fit_dictionaries(seen).items()}
     return encode_features(patents.feature_table(codes, "file_name"), dictionaries)
@@ -261,7 +265,7 @@ def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _classifier(spark: SparkSession, sf_dir: str):
     """Trained on documents whose first class is below 30, against the others."""
-    codes = stage(patents.extract_codes(corpus.patents(spark, sf_dir)))
+    codes = _codes(spark, sf_dir)
     first = F.get("classes", F.lit(0))
     energy = codes.where((first >= "01") & (first < "30"))
     listed = energy.select(text.base_name(F.col("file_name")).alias("base_name"))

@@ -7,6 +7,13 @@ from pyspark.sql.types import StructType
 from patentflow.schemas import WORD_COUNTS
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table; an input of fewer splits than cores is spread over the cores."""
+    table = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def read_parts(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """All parquet parts of a folder; an unreadable part is logged and left out."""
     reader = spark.read.option("ignoreCorruptFiles", True)
