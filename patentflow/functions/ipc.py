@@ -32,9 +32,9 @@ def code_list(entries: Column, spec: CodeSpec) -> Column:
     return pad(tag_values(entries, spec.tag), spec.length, spec.pad)
 
 
-def code_lists(block: Column) -> dict[str, Column]:
-    """The six padded code lists of a classification block, by column name."""
-    return {spec.name: code_list(items(block), spec) for spec in CODE_SPECS}
+def code_lists(entries: Column) -> list[Column]:
+    """The six padded code lists of a column of entries."""
+    return [code_list(entries, spec).alias(spec.name) for spec in CODE_SPECS]
 
 
 def feature_columns() -> list[Column]:

@@ -7,21 +7,23 @@ from patentflow.functions import ipc, markup, text
 from patentflow.schemas import CODE_SPECS
 
 
-def extract_fields(docs: DataFrame) -> DataFrame:
-    """file_name, title, abstract, year and ipc_block of every document, as they stand in the markup.
+FIELDS = {
+    "title": markup.title,
+    "abstract": markup.abstract,
+    "year": markup.publication_year,
+    "ipc_block": markup.ipc_block,
+}
+
+
+def extract_fields(docs: DataFrame, *names: str) -> DataFrame:
+    """file_name and the named fields (all of them by default), as they stand in the markup.
 
     The fields leave through a one-element generator. Catalyst pushes filters through projections
     by repeating their expressions, which would search each document again for every predicate on
     an extracted field; it does not push them through a generator.
     """
-    raw = F.col("raw_txt")
-    fields = F.struct(
-        markup.title(raw).alias("title"),
-        markup.abstract(raw).alias("abstract"),
-        markup.publication_year(raw).alias("year"),
-        markup.ipc_block(raw).alias("ipc_block"),
-    )
-    found = docs.select("file_name", F.array(fields).alias("fields"))
+    wanted = [FIELDS[name](F.col("raw_txt")).alias(name) for name in names or FIELDS]
+    found = docs.select("file_name", F.array(F.struct(*wanted)).alias("fields"))
     return found.select("file_name", F.inline_outer("fields"))
 
 
@@ -46,18 +48,24 @@ def clean_columns(df: DataFrame, *names: str) -> DataFrame:
 def extract_patents(docs: DataFrame) -> DataFrame:
     """Complete English patents: file_name, abstract, title, year and the six code lists."""
     kept = extract_fields(docs).transform(keep_complete).transform(keep_english)
-    return kept.transform(clean_columns, "abstract", "title").select(
-        "file_name", "abstract", "title", "year", *_lists(F.col("ipc_block"))
-    )
+    cleaned = kept.transform(clean_columns, "abstract", "title")
+    return with_code_lists(cleaned, "file_name", "abstract", "title", "year")
 
 
 def extract_codes(docs: DataFrame) -> DataFrame:
     """file_name and the six code lists of every document, unfiltered."""
-    return docs.select("file_name", *_lists(markup.ipc_block(F.col("raw_txt"))))
+    block = markup.ipc_block(F.col("raw_txt")).alias("ipc_block")
+    return with_code_lists(docs.select("file_name", block), "file_name")
 
 
-def _lists(block):
-    return [column.alias(name) for name, column in ipc.code_lists(block).items()]
+def with_code_lists(df: DataFrame, *keep: str) -> DataFrame:
+    """The kept columns and the code lists of `ipc_block`.
+
+    The entries are a column of their own: lambda functions keep Spark from sharing common
+    subexpressions, so each of the six lists would cut the block up again.
+    """
+    entries = df.select(*keep, ipc.items(F.col("ipc_block")).alias("items"))
+    return entries.select(*keep, *ipc.code_lists(F.col("items")))
 
 
 def feature_table(patents: DataFrame, *keep: str) -> DataFrame:

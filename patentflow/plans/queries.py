@@ -59,10 +59,15 @@ def extract_patent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("file_name", "title", "abstract", "year", *joined(*CODE_LISTS))
 
 
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block = markup.ipc_block(F.col("raw_txt")).alias("ipc_block")
+    blocks = corpus.patents(spark, sf_dir).select("file_name", block)
+    return blocks.select("file_name", ipc.items(F.col("ipc_block")).alias("items"))
+
+
 @query
 def ipc_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = ipc.items(markup.ipc_block(F.col("raw_txt")))
-    rows = corpus.patents(spark, sf_dir).select("file_name", entries.alias("items"))
+    rows = _items(spark, sf_dir)
     return rows.select("file_name", F.size("items").alias("n_items"), *joined("items"))
 
 
@@ -75,8 +80,8 @@ def ipc_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def array_pad_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The distinct codes before padding, and two of the lists cut and padded to other lengths."""
-    entries = ipc.items(markup.ipc_block(F.col("raw_txt")))
-    values = corpus.patents(spark, sf_dir).select(
+    entries = F.col("items")
+    values = _items(spark, sf_dir).select(
         "file_name",
         ipc.tag_values(entries, "class").alias("classes"),
         ipc.tag_values(entries, "section").alias("sections"),
@@ -103,14 +108,14 @@ def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def filter_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = patents.extract_fields(corpus.patents(spark, sf_dir))
-    return fields.transform(patents.keep_complete).select("file_name", "title", "abstract")
+    fields = patents.extract_fields(corpus.patents(spark, sf_dir), "title", "abstract")
+    return fields.transform(patents.keep_complete)
 
 
 @query
 def filter_ascii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = patents.extract_fields(corpus.patents(spark, sf_dir))
-    return fields.transform(patents.keep_english).select("file_name", "title", "abstract")
+    fields = patents.extract_fields(corpus.patents(spark, sf_dir), "title", "abstract")
+    return fields.transform(patents.keep_english)
 
 
 @query
@@ -128,7 +133,7 @@ def str_list_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _english(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = patents.extract_fields(corpus.patents(spark, sf_dir))
+    fields = patents.extract_fields(corpus.patents(spark, sf_dir), "title", "abstract")
     kept = fields.transform(patents.keep_complete).transform(patents.keep_english)
     return kept.transform(patents.clean_columns, "abstract")
 
