@@ -41,7 +41,8 @@ def main() -> None:
     given = arguments()
     spark = build_session()
     if given.command == "extract":
-        print(jobs.extract_job(spark, given.archives, given.out, given.glob, given.max_rows))
+        damaged = jobs.extract_job(spark, given.archives, given.out, given.glob, given.max_rows)
+        print({"damaged": damaged})
     elif given.command == "label":
         jobs.training_job(
             spark, given.archives, given.positives, given.out, given.glob, given.max_negatives

@@ -1,6 +1,6 @@
 """The three jobs: extract patents, train the classifier, score patents."""
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patentflow import sinks
@@ -14,26 +14,25 @@ from patentflow.storage import stage
 
 def extract_job(
     spark: SparkSession, archive_dir: str, out: str, glob: str = "*", max_rows: int | None = None
-) -> dict[str, int]:
+) -> int:
     """Write `patents`, `word_counts`, `top_words` (parquet and JSON lines) below `out`.
 
-    The archives are read once. Damaged ones are counted on the way; only if there are any, a
-    second pass names them in `archive_errors`.
+    The archives are read once. Only if that meets damaged ones, a second pass names them in
+    `archive_errors`; their number is returned.
     """
-    unpacked = archives.read_archives(spark, archive_dir, glob)
-    seen = Observation()
-    watched = unpacked.observe(
-        seen, F.count("file_name").alias("documents"), F.count("error").alias("damaged")
-    )
-    patents = extract_patents(archives.documents(watched))
+    damaged = spark.sparkContext.accumulator(0)
+    unpacked = archives.read_archives(spark, archive_dir, glob, damaged=damaged)
+    patents = extract_patents(archives.documents(unpacked))
     sinks.write_table(patents, f"{out}/patents", max_rows)
-    if seen.get["damaged"]:
-        sinks.write_table(archives.failures(unpacked), f"{out}/archive_errors")
 
     counts = wordcount.count_words(tables.read_parts(spark, f"{out}/patents", patents.schema))
     sinks.write_counts(counts, f"{out}/word_counts")
     write_top_words(spark, out, f"{out}/word_counts")
-    return seen.get
+
+    if not damaged.value:
+        return 0
+    sinks.write_table(archives.failures(unpacked), f"{out}/archive_errors")
+    return spark.read.parquet(f"{out}/archive_errors").count()
 
 
 def write_top_words(spark: SparkSession, out: str, *count_paths: str) -> None:

@@ -229,7 +229,8 @@ def split_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sample_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labeling.shuffle_rows(corpus.documents(spark, sf_dir).select("doc_id", "text"))
+    scan = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return labeling.shuffle_rows(scan.select("doc_id", "text"))
 
 
 # Dictionaries and features

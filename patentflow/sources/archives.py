@@ -2,6 +2,7 @@
 
 import math
 
+from pyspark import Accumulator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,20 +19,25 @@ def list_archives(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 
 def read_archives(
-    spark: SparkSession, path: str, glob: str = "*", block_bytes: int = BLOCK_BYTES
+    spark: SparkSession,
+    path: str,
+    glob: str = "*",
+    block_bytes: int = BLOCK_BYTES,
+    damaged: Accumulator | None = None,
 ) -> DataFrame:
     """(archive, file_name, raw_txt, error): a row per regular file, a row per damaged archive.
 
     Tasks open the archives themselves and stream them, so an archive may exceed the 2 GB of a
     binary column. Plain archives beyond a block are first cut at member borders, so that one large
     archive is read by many tasks; compressed ones cannot be cut. Only block positions are
-    shuffled, spread over as many tasks as there are blocks to expect.
+    shuffled, spread over as many tasks as there are blocks to expect. `damaged` tells after an
+    action whether there were error rows; retried tasks may count theirs again.
     """
     archives = list_archives(spark, path, glob)
     total = archives.agg(F.sum("length")).first()[0] or 0
     blocks = archives.mapInArrow(tar.block_planner(block_bytes), BLOCKS)
     spread = blocks.repartition(max(1, math.ceil(total / block_bytes)))
-    return spread.mapInArrow(tar.read_blocks, UNPACKED)
+    return spread.mapInArrow(tar.block_reader(damaged), UNPACKED)
 
 
 def unpack_blobs(archives: DataFrame) -> DataFrame:

@@ -95,6 +95,10 @@ def files(archive, stream, stop=None):
             if member.isreg():
                 content = tar.extractfile(member).read()
                 yield archive, member.name, content.decode("utf-8", "replace"), None
+        if tar.fileobj is not stream:
+            # The checksum of compressed data is only verified at its very end.
+            while tar.fileobj.read(BUFFER_BYTES):
+                pass
     except (*DAMAGED, OSError) as error:
         if not is_damage(error):
             raise
@@ -119,17 +123,20 @@ def to_batch(rows):
     return pa.RecordBatch.from_arrays(columns, names=["archive", "file_name", "raw_txt", "error"])
 
 
-def read_blocks(batches):
-    """Files of the archive blocks (path, start, stop), read where they are stored."""
+def block_reader(damaged=None):
+    """Reader of archive blocks (path, start, stop) where they are stored; counts error rows."""
 
-    def rows():
+    def rows(batches):
         for batch in batches:
             for block in batch.to_pylist():
                 with open_path(block["path"]) as stream:
                     stream.seek(block["start"])
-                    yield from files(block["path"], stream, block["stop"])
+                    for row in files(block["path"], stream, block["stop"]):
+                        if damaged is not None and row[3] is not None:
+                            damaged.add(1)
+                        yield row
 
-    return to_batches(rows())
+    return lambda batches: to_batches(rows(batches))
 
 
 def read_blobs(batches):
