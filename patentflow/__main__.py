@@ -24,6 +24,7 @@ def arguments() -> argparse.Namespace:
     label.add_argument("out")
     label.add_argument("--glob", default="*")
     label.add_argument("--max-negatives", type=int, default=MAX_NEGATIVES)
+    label.add_argument("--documents", default=None, help="also keep the raw documents here")
 
     fit = commands.add_parser("fit", help="training table -> model and dictionaries")
     fit.add_argument("training")
@@ -45,7 +46,13 @@ def main() -> None:
         print({"damaged": damaged})
     elif given.command == "label":
         jobs.training_job(
-            spark, given.archives, given.positives, given.out, given.glob, given.max_negatives
+            spark,
+            given.archives,
+            given.positives,
+            given.out,
+            given.glob,
+            given.max_negatives,
+            given.documents,
         )
     elif given.command == "fit":
         print({"accuracy": jobs.fit_job(spark, given.training, given.model)})

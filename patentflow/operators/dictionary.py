@@ -14,8 +14,8 @@ def fit_dictionary(df: DataFrame, lists: Iterable[str]) -> DataFrame:
     """Ids of the distinct values of some list columns, numbered in the order of the values.
 
     Numbering runs per two-character prefix and adds the size of all smaller prefixes, so no task
-    sorts the whole vocabulary. With a left join both uses of the distinct values keep the same
-    plan and share one exchange.
+    sorts the whole vocabulary: the window without partitions sees one row per prefix. With a left
+    join both uses of the distinct values keep the same plan and share one exchange.
     """
     values = df.select(F.explode(F.concat(*lists)).alias("value")).distinct()
     values = values.withColumn("prefix", F.substring("value", 1, 2))

@@ -50,16 +50,21 @@ def training_job(
     out: str,
     glob: str = "*",
     max_negatives: int = labeling.MAX_NEGATIVES,
+    documents_out: str | None = None,
 ) -> None:
     """Write the labelled training table from archives and a list of positive files.
 
     The codes of all documents are staged once as a narrow table; the two joins and the choice of
-    negatives read that table, not the archives.
+    negatives read that table, not the archives. On request the raw documents behind the training
+    rows are kept as well, which reads the archives a second time.
     """
     docs = archives.documents(archives.read_archives(spark, archive_dir, glob))
     known = tables.parse_file_list(tables.read_file_list(spark, positives))
     codes = stage(extract_codes(docs))
     sinks.write_table(labeling.label(codes, known, max_negatives), out)
+    if documents_out:
+        labels = spark.read.parquet(out).select("file_name", "target").distinct()
+        sinks.write_by_target(docs.join(labels, "file_name"), documents_out)
 
 
 def fit_classifier(training: DataFrame, **forest) -> tuple[Classifier, DataFrame]:

@@ -30,6 +30,12 @@ def read_dated(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("ex_date", F.col("ex_date").cast("string"))
 
 
+def write_by_target(df: DataFrame, path: str) -> None:
+    """Replace a table with one folder per class."""
+    writer = df.write.mode("overwrite").option("compression", "snappy")
+    writer.partitionBy("target").parquet(path)
+
+
 def write_if_any(df: DataFrame, path: str) -> bool:
     """Write a table unless it would be empty; stops at the first row to find out."""
     if df.isEmpty():

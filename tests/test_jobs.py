@@ -66,10 +66,14 @@ def test_counts_of_two_runs_merge(spark, tmp_path):
 
 def test_train_and_score(spark, place):
     root, docs, names = place
-    jobs.training_job(spark, f"{root}/archives", f"{root}/list.txt", f"{root}/training")
+    places = f"{root}/archives", f"{root}/list.txt", f"{root}/training"
+    jobs.training_job(spark, *places, documents_out=f"{root}/raw")
     training = spark.read.parquet(f"{root}/training")
     assert training.count() == docs.count()
     assert sorted(r.file_name for r in training.where("target = 0").collect()) == sorted(names)
+    raw = spark.read.parquet(f"{root}/raw")
+    assert rows(raw.select("file_name", "raw_txt")) == rows(docs)
+    assert sorted(r.file_name for r in raw.where("target = 0").collect()) == sorted(names)
 
     assert jobs.fit_job(spark, f"{root}/training", f"{root}/model") >= 0.9
 
