@@ -1,4 +1,4 @@
-"""`spark-submit`-able entry: python -m patentflow extract|label|fit|score ..."""
+"""The jobs from a command line: python -m patentflow extract|top|label|fit|score ..."""
 
 import argparse
 from datetime import date
@@ -18,6 +18,10 @@ def arguments() -> argparse.Namespace:
     extract.add_argument("--glob", default="*")
     extract.add_argument("--max-rows", type=int, default=None, help="bound on rows per file")
 
+    top = commands.add_parser("top", help="word counts of several runs -> merged top words")
+    top.add_argument("out")
+    top.add_argument("counts", nargs="+")
+
     label = commands.add_parser("label", help="archives + list of positives -> training table")
     label.add_argument("archives")
     label.add_argument("positives")
@@ -35,6 +39,7 @@ def arguments() -> argparse.Namespace:
     score.add_argument("model")
     score.add_argument("out")
     score.add_argument("--day", default=date.today().isoformat())
+    score.add_argument("--skip-unreadable", action="store_true", help="leave broken parts out")
     return parser.parse_args()
 
 
@@ -44,6 +49,8 @@ def main() -> None:
     if given.command == "extract":
         damaged = jobs.extract_job(spark, given.archives, given.out, given.glob, given.max_rows)
         print({"damaged": damaged})
+    elif given.command == "top":
+        jobs.write_top_words(spark, given.out, *given.counts)
     elif given.command == "label":
         jobs.training_job(
             spark,
@@ -57,7 +64,9 @@ def main() -> None:
     elif given.command == "fit":
         print({"accuracy": jobs.fit_job(spark, given.training, given.model)})
     else:
-        jobs.score_job(spark, given.patents, given.model, given.out, given.day)
+        jobs.score_job(
+            spark, given.patents, given.model, given.out, given.day, given.skip_unreadable
+        )
 
 
 if __name__ == "__main__":

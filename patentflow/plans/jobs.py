@@ -25,7 +25,8 @@ def extract_job(
     patents = extract_patents(archives.documents(unpacked))
     sinks.write_table(patents, f"{out}/patents", max_rows)
 
-    counts = wordcount.count_words(tables.read_parts(spark, f"{out}/patents", patents.schema))
+    written = spark.read.schema(patents.schema).parquet(f"{out}/patents")
+    counts = wordcount.count_words(written)
     sinks.write_counts(counts, f"{out}/word_counts")
     write_top_words(spark, out, f"{out}/word_counts")
 
@@ -87,8 +88,20 @@ def fit_job(spark: SparkSession, training: str, model_dir: str, **forest) -> flo
     return score.first()["accuracy"]
 
 
-def score_job(spark: SparkSession, patents: str, model_dir: str, out: str, day: str) -> None:
-    """Write title, abstract and year of the energy patents under the run date."""
+def score_job(
+    spark: SparkSession,
+    patents: str,
+    model_dir: str,
+    out: str,
+    day: str,
+    skip_unreadable: bool = False,
+) -> None:
+    """Write title, abstract and year of the energy patents under the run date.
+
+    Leaving unreadable parts out is a choice of the caller: Spark cannot tell a broken file from
+    one that its storage failed to deliver.
+    """
     classifier = Classifier.load(spark, model_dir)
-    found = classifier.energy_patents(tables.read_parts(spark, patents))
+    read = tables.read_parts if skip_unreadable else tables.read_table
+    found = classifier.energy_patents(read(spark, patents))
     sinks.write_dated(found, out, day)

@@ -89,6 +89,14 @@ def test_train_and_score(spark, place):
         jobs.score_job(spark, f"{root}/patents", f"{root}/model", f"{root}/energy", "2024-01-31")
     scored = sinks.read_dated(spark, f"{root}/energy")
     assert rows(scored.select("ex_date").distinct()) == [("20240131",)]
+    with open(f"{root}/patents/part-bad.parquet", "wb") as part:
+        part.write(b"junk")
+    with pytest.raises(Exception):
+        jobs.score_job(spark, f"{root}/patents", f"{root}/model", f"{root}/energy", "2024-02-01")
+    jobs.score_job(spark, f"{root}/patents", f"{root}/model", f"{root}/energy", "2024-02-02", True)
+    tolerant = sinks.read_dated(spark, f"{root}/energy").where("ex_date = '20240202'")
+    scored = sinks.read_dated(spark, f"{root}/energy").where("ex_date = '20240131'")
+    assert rows(tolerant.drop("ex_date")) == rows(scored.drop("ex_date"))
     wanted = patents.where(F.col("file_name").isin([n for n, p in found.items() if p == 0]))
     columns = ["title", "abstract", "year"]
     assert rows(scored.select(columns)) == rows(wanted.select(columns))
