@@ -10,26 +10,37 @@ from patentflow.schemas import DICTIONARIES, TRAIN_COLS, features_of, lists_of
 UNSEEN = -1
 
 
-def fit_dictionary(df: DataFrame, lists: Iterable[str]) -> DataFrame:
-    """Ids of the distinct values of some list columns, numbered in the order of the values.
+def _values(df: DataFrame) -> DataFrame:
+    """Distinct (dictionary, value) of all list columns, from one pass over the table."""
+    lists = [
+        F.struct(F.lit(name).alias("dictionary"), F.concat(*lists_of(name)).alias("values"))
+        for name in DICTIONARIES
+    ]
+    rows = df.select(F.inline_outer(F.array(*lists))).where(F.col("dictionary").isNotNull())
+    return rows.select("dictionary", F.explode("values").alias("value")).distinct()
+
+
+def fit_dictionaries(df: DataFrame) -> DataFrame:
+    """(dictionary, value, id): both dictionaries, each numbered in the order of its values.
 
     Numbering runs per two-character prefix and adds the size of all smaller prefixes, so no task
-    sorts the whole vocabulary: the window without partitions sees one row per prefix. With a left
-    join both uses of the distinct values keep the same plan and share one exchange.
+    sorts a whole vocabulary. With a left join, and without names that
+    may be NULL, both uses of the distinct values keep the same plan and share one exchange.
     """
-    values = df.select(F.explode(F.concat(*lists)).alias("value")).distinct()
-    values = values.withColumn("prefix", F.substring("value", 1, 2))
-    sizes = values.groupBy("prefix").agg(F.count("*").alias("size"))
-    smaller = F.sum("size").over(Window.orderBy("prefix")) - F.col("size")
-    offsets = sizes.select("prefix", smaller.alias("offset"))
-    position = F.row_number().over(Window.partitionBy("prefix").orderBy("value"))
-    numbered = values.withColumn("position", position).join(offsets, "prefix", "left")
-    return numbered.select("value", (F.col("offset") + F.col("position") - 1).cast("int").alias("id"))
+    keys = ["dictionary", "prefix"]
+    values = _values(df).withColumn("prefix", F.substring("value", 1, 2))
+    sizes = values.groupBy(*keys).agg(F.count("*").alias("size"))
+    in_order = Window.partitionBy("dictionary").orderBy("prefix")
+    offsets = sizes.select(*keys, (F.sum("size").over(in_order) - F.col("size")).alias("offset"))
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy("value"))
+    numbered = values.withColumn("position", position).join(offsets, keys, "left")
+    number = (F.col("offset") + F.col("position") - 1).cast("int")
+    return numbered.select("dictionary", "value", number.alias("id"))
 
 
-def fit_dictionaries(df: DataFrame) -> dict[str, DataFrame]:
-    """The categorical and the numeric dictionary of a table with the six code lists."""
-    return {name: fit_dictionary(df, lists_of(name)) for name in DICTIONARIES}
+def dictionary_of(dictionaries: DataFrame, name: str) -> DataFrame:
+    """(value, id) of one dictionary."""
+    return dictionaries.where(F.col("dictionary") == name).select("value", "id")
 
 
 def encode_columns(df: DataFrame, dictionary: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -41,7 +52,7 @@ def encode_columns(df: DataFrame, dictionary: DataFrame, columns: Iterable[str])
     return df
 
 
-def encode_features(features: DataFrame, dictionaries: dict[str, DataFrame]) -> DataFrame:
+def encode_features(features: DataFrame, dictionaries: DataFrame) -> DataFrame:
     """The 18 feature columns as dictionary ids; give it staged dictionaries.
 
     One lookup join per column. A staged dictionary has a known size, so each join is a broadcast
@@ -50,5 +61,6 @@ def encode_features(features: DataFrame, dictionaries: dict[str, DataFrame]) ->
     """
     kept = [name for name in features.columns if name not in TRAIN_COLS]
     for name in DICTIONARIES:
-        features = encode_columns(features, dictionaries[name], features_of(name))
+        ids = dictionary_of(dictionaries, name)
+        features = encode_columns(features, ids, features_of(name))
     return features.select(*kept, *TRAIN_COLS)

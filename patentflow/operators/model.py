@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from patentflow.operators.dictionary import encode_features
 from patentflow.operators.labeling import ENERGY
 from patentflow.operators.patents import feature_table
-from patentflow.schemas import DICTIONARIES, TRAIN_COLS
+from patentflow.schemas import TRAIN_COLS
 
 
 @dataclass
@@ -19,18 +19,16 @@ class Classifier:
     """A fitted pipeline and the dictionaries its features were encoded with."""
 
     model: PipelineModel
-    dictionaries: dict[str, DataFrame]
+    dictionaries: DataFrame
 
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/forest")
-        for name, dictionary in self.dictionaries.items():
-            dictionary.write.mode("overwrite").parquet(f"{path}/{name}")
+        self.dictionaries.write.mode("overwrite").parquet(f"{path}/dictionaries")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Classifier":
         model = PipelineModel.load(f"{path}/forest")
-        tables = {name: spark.read.parquet(f"{path}/{name}") for name in DICTIONARIES}
-        return cls(model, tables)
+        return cls(model, spark.read.parquet(f"{path}/dictionaries"))
 
     def predict(self, patents: DataFrame, *keep: str) -> DataFrame:
         """The kept columns and the predicted class of rows with the six code lists."""

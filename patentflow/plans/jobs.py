@@ -73,7 +73,7 @@ def fit_classifier(training: DataFrame, **forest) -> tuple[Classifier, DataFrame
 
     The dictionaries see all rows, held-out ones included.
     """
-    dictionaries = {name: stage(ids) for name, ids in fit_dictionaries(training).items()}
+    dictionaries = stage(fit_dictionaries(training))
     features = feature_table(training.transform(labeling.with_split), "target", "is_test")
     encoded = stage(encode_features(features, dictionaries))
     model = fit_forest(encoded.where(~F.col("is_test")), **forest)

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from patentflow import sinks
 from patentflow.functions import ipc, markup, text
 from patentflow.operators import labeling, model, patents, wordcount
-from patentflow.operators.dictionary import encode_features, fit_dictionaries, fit_dictionary
+from patentflow.operators.dictionary import dictionary_of, encode_features, fit_dictionaries
 from patentflow.plans import corpus
 from patentflow.plans.jobs import fit_classifier
-from patentflow.schemas import ARCHIVE_BLOBS, CODE_LISTS, TRAIN_COLS, lists_of
+from patentflow.schemas import ARCHIVE_BLOBS, CODE_LISTS, TRAIN_COLS
 from patentflow.sources import archives, tables
 from patentflow.storage import scratch_dir, stage
 
@@ -239,20 +239,20 @@ def sample_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dict_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = patents.extract_codes(corpus.patents(spark, sf_dir))
-    return fit_dictionary(codes, lists_of("categorical"))
+    return dictionary_of(fit_dictionaries(codes), "categorical")
 
 
 @query
 def dict_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = patents.extract_codes(corpus.patents(spark, sf_dir))
-    return fit_dictionary(codes, lists_of("numeric"))
+    return dictionary_of(fit_dictionaries(codes), "numeric")
 
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded with dictionaries of the known positives, so some codes are unseen."""
     codes = _codes(spark, sf_dir)
     seen = labeling.positives(codes, corpus.known(spark, sf_dir))
-    dictionaries = {name: stage(ids) for name, ids in fit_dictionaries(seen).items()}
+    dictionaries = stage(fit_dictionaries(seen))
     return encode_features(patents.feature_table(codes, "file_name"), dictionaries)
 
 
