@@ -7,6 +7,9 @@ from patentflow.functions import ipc, markup, text
 from patentflow.schemas import CODE_SPECS
 
 
+# Column names of older tables and their names here.
+OLDER_NAMES = {"clasess": "classes", "subclasess": "subclasses"}
+
 FIELDS = {
     "title": markup.title,
     "abstract": markup.abstract,
@@ -80,5 +83,5 @@ def with_row_id(df: DataFrame) -> DataFrame:
 
 def from_stringified(df: DataFrame) -> DataFrame:
     """Import of older tables that hold the lists as text under two misspelt names."""
-    renamed = df.withColumnsRenamed({"clasess": "classes", "subclasess": "subclasses"})
+    renamed = df.withColumnsRenamed(OLDER_NAMES)
     return renamed.withColumns({s.name: text.parse_list(F.col(s.name)) for s in CODE_SPECS})

@@ -123,9 +123,8 @@ def str_list_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The code lists rendered as text the way older tables hold them, and parsed again."""
     codes = patents.extract_codes(corpus.patents(spark, sf_dir))
     rendered = {name: F.concat(F.lit("["), F.array_join(name, ", "), F.lit("]")) for name in CODE_LISTS}
-    old = codes.withColumns(rendered).withColumnsRenamed(
-        {"classes": "clasess", "subclasses": "subclasess"}
-    )
+    older = {new: old for old, new in patents.OLDER_NAMES.items()}
+    old = codes.withColumns(rendered).withColumnsRenamed(older)
     return patents.from_stringified(old).select("file_name", *joined(*CODE_LISTS))
 
 
