@@ -116,7 +116,8 @@ def _keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _compare(cell: pa.Table) -> Iterator[pa.RecordBatch]:
     """Edges of a forest over the fingerprints of a cell that differ in few bits."""
     left, right = cell.column("left")[0].as_py(), cell.column("right")[0].as_py()
-    rep, prints, side = (cell.column(name).to_numpy() for name in ("rep", "print", "side"))
+    rep, side = (cell.column(name).to_numpy() for name in ("rep", "side"))
+    prints = cell.column("print").to_numpy().view(np.uint64)
     lefts, rights = np.flatnonzero(side == left), np.flatnonzero(side == right)
     stars = Stars(len(rep))
     for start in range(0, len(lefts), 256):
