@@ -1,0 +1,351 @@
+"""URL rules, shards, mixing, conversations, classifiers and tokens."""
+
+import random
+import re
+import zlib
+from itertools import chain
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from patentflow.llm import bpe, chat_format, language_id, mixing, sharding, toxicity, url_filter
+from patentflow.llm.queries import URL_RULES, vocabulary
+from patentflow.llm.samples import held_out, sampled
+
+DOCS = "doc_id bigint, text string"
+
+
+# URL filters
+
+
+def brute_verdicts(pages, links):
+    def split(url):
+        m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?", url or "")
+        lower = (lambda s: "".join(c.lower() if "A" <= c <= "Z" else c for c in s))
+        return (lower(m[1]), m[2], m[3] or "") if m else ("", "", "")
+
+    def rule(host, path):
+        fits = [r for r in URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        return max(fits, key=lambda r: len(r.host + r.path), default=None)
+
+    def address(url):
+        host, path, query = split(url)
+        return host + (path or "/") + query if host else None
+
+    near = {}
+    for a, b in links:
+        near.setdefault(address(a), set()).add(address(b))
+        near.setdefault(address(b), set()).add(address(a))
+    found = []
+    for page, url in pages:
+        host, path, _ = split(url)
+        own, verdict = rule(host, path), "allow"
+        if own:
+            verdict = own.verdict
+        else:
+            seen, todo = set(), [address(url)]
+            while todo:
+                at = todo.pop()
+                if at is not None and at not in seen:
+                    seen.add(at)
+                    todo += near.get(at, ())
+            ruled = [rule(a.partition("/")[0], "/" + a.partition("/")[2].partition("?")[0]) for a in seen]
+            if any(r and r.verdict == "block" for r in ruled):
+                verdict = "block"
+        found.append((page, host, path, own.host + own.path if own else None, verdict))
+    return sorted(found, key=repr)
+
+
+PAGES = [
+    (1, "http://a.org/x", '<link rel="canonical" href="https://shop.example.com/en/1?a=1&amp;b=2">'),
+    (2, "https://b.org/y#top", "<head><META HTTP-EQUIV='refresh' CONTENT='0; URL=//a.org/x'></head>"),
+    (3, "http://c.org/d/e.html?q", "<link href=../f rel=canonical><link rel=stylesheet href=http://a.net/es/z>"),
+    (4, "http://www.Example.com/en/q", '<link rel="canonical" href="http://b.org/y">'),
+    (5, "http://fine.net", '<link rel="canonical" href="/fr/">'),
+    (6, "http://fine.net/", None),
+    (7, None, "<link rel=canonical href=http://a.org/x>"),
+    (8, "no scheme", "<link rel=canonical href=>"),
+    (9, "ftp://NET/es/x", ""),
+    (9, "ftp://NET/es/x", ""),
+    (10, "http://com", ""),
+    (11, "http://badexample.com/en/", ""),
+    (12, "http://d.org/?u=http://x.net/es/", "<p>canonical</p>"),
+    (13, "http://d.org/moved", ""),
+]
+LINKS = [
+    ("http://a.org/x", "https://shop.example.com/en/1?a=1&b=2"),
+    ("https://b.org/y#top", "http://a.org/x"),
+    ("http://c.org/d/e.html?q", "http://c.org/d/../f"),
+    ("http://www.Example.com/en/q", "http://b.org/y"),
+    ("http://fine.net", "http://fine.net/fr/"),
+    ("http://d.org/moved", "http://b.net/fr/1"),
+]
+
+
+def test_url_verdicts(spark):
+    pages = spark.createDataFrame(PAGES, "page_id bigint, url string, html string")
+    pages = pages.withColumns({"host": F.lit("?"), "rule": F.lit("?"), "address": F.lit("?")})
+    redirects = spark.createDataFrame([("http://d.org/moved", "http://b.net/fr/1"), (None, "x")], "address string, alias string")
+    found = url_filter.url_verdicts(pages, URL_RULES, redirects)
+    rows = sorted((tuple(r[c] for c in ("page_id", "host", "path", "rule", "verdict")) for r in found.collect()), key=repr)
+    assert rows == brute_verdicts([p[:2] for p in PAGES], LINKS)
+    verdicts = {r[0]: r[4] for r in rows}
+    assert verdicts[2] == verdicts[13] == verdicts[6] == "block" and verdicts[4] == verdicts[12] == "allow"
+    assert url_filter.url_verdicts(pages.limit(0), URL_RULES).collect() == []
+
+
+# Sharding
+
+
+def brute_shards(rows, limit):
+    """Split by the same bits, recursively."""
+    import hashlib
+
+    bits = {d: f"{int(hashlib.md5(str(d).encode()).hexdigest()[:15], 16):060b}" for d, _ in rows}
+    found = {}
+
+    def place(part, prefix):
+        total = sum(n for _, n in part)
+        if total <= limit or len(part) == 1:
+            found.update({d: (prefix, total) for d, _ in part})
+            return
+        for bit in "01":
+            if inside := [r for r in part if bits[r[0]][len(prefix)] == bit]:
+                place(inside, prefix + bit)
+
+    place(rows, "")
+    return found
+
+
+def test_shards_split_as_far_as_needed(spark):
+    rnd = random.Random(0)
+    rows = [(i, "x" * rnd.choice([0, 3, 10, 90])) for i in range(500)] + [(900, "y" * 5000)]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({"shard": F.lit(1), "cell": F.lit(1), "prefix": F.lit(1)})
+    found = {r.doc_id: (r.shard, r.shard_bytes) for r in sharding.assign_shards(docs, 300).collect()}
+    assert found == brute_shards([(i, len(t)) for i, t in rows], 300)
+    assert sharding.assign_shards(docs.limit(0), 300).collect() == []
+
+
+def test_shards_of_one_hot_key_and_of_repeated_rows(spark):
+    rows = [(i, "t" * 20, "hot" if i % 3 else f"s{i}") for i in range(300)] + [(7, "same", "hot")] * 200 + [(None, None, None)]
+    docs = spark.createDataFrame(rows, DOCS + ", source string")
+    found = sharding.assign_shards(docs, 100, key="source").collect()
+    assert len(found) == len(rows) and not any(r.oversized for r in found)
+    sums = {}
+    for r in found:
+        sums[r.shard] = sums.get(r.shard, 0) + r.bytes
+    assert max(sums.values()) <= 100 and all(sums[r.shard] == r.shard_bytes for r in found)
+    names = sorted(sums)
+    assert not any(b.startswith(a) for a, b in zip(names, names[1:]))
+
+
+def test_shard_files(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "x" * 50) for i in range(40)], DOCS)
+    sharding.write_shards(docs, sharding.assign_shards(docs, 500), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 40
+
+
+# Mixing
+
+
+def brute_targets(sizes, weights, total, epochs=3):
+    held, names = set(), sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    while True:
+        rest = total - sum(epochs * sizes[s] for s in held)
+        share = sum(weight[s] for s in names if s not in held)
+        over = {s for s in names if s not in held and weight[s] * rest / share >= epochs * sizes[s]} if share else set()
+        if not over:
+            return {s: epochs * sizes[s] if s in held else weight[s] * rest / share for s in names}
+        held |= over
+
+
+def test_mix(spark):
+    rnd = random.Random(1)
+    rows = [(i, "w " * rnd.randint(0, 40), rnd.choice(["src0"] * 5 + ["b", "é", "Z", None, "c", "rare"][: 1 + i % 6])) for i in range(900)]
+    rows += [(5000, None, "empty"), (5001, "", "empty"), (5002, "one two", "tiny"), (5003, "x\x0by\x1cz", None), (5002, "one two", "tiny")]
+    docs = spark.createDataFrame(rows, DOCS + ", source string").withColumns({"size": F.lit(0), "draw": F.lit(0), "id": F.lit(0), "copy": F.lit(0), "weight": F.lit(0)})
+    found = mixing.mix_amounts(docs).collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(map(tuple, mixing.mix_amounts(docs.repartition(5)).collect()), key=repr)
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+    targets = brute_targets(sizes, (5, 2, 1), sum(sizes.values()))
+    of = {(d, t): s for d, t, s in rows}
+    by_id = {d: s for d, _, s in rows}
+    taken = {}
+    for r in found:
+        source = by_id[r.doc_id]
+        assert r.source_size == sizes[source] and r.target == pytest.approx(targets[source])
+        assert r.taken in (0, r.size, 2 * r.size, 3 * r.size)
+        taken[source] = taken.get(source, 0) + r.taken
+    assert all(abs(taken[s] - targets[s]) <= 40 for s in targets) and of
+    mixed = mixing.mixed(docs)
+    assert mixed.columns == docs.columns
+    words = mixed.groupBy("source").agg(F.sum(mixing.n_words(F.col("text"))).alias("n")).collect()
+    assert {r.source: r.n for r in words if r.n} == {s: n for s, n in taken.items() if n}
+    assert mixing.mix_amounts(docs.limit(0)).collect() == [] and mixing.mixed(docs.limit(0)).collect() == []
+
+
+# Conversations
+
+
+def test_conversations_read_back(spark):
+    rnd = random.Random(2)
+    parts = ["</turn>", "\\", "\\l", "\\b", "\\c", ": ", "\n### ", "assistant", "<", ":", "é", " ", "\n", "</tur", "n>", ""]
+    rows = []
+    for conv in range(60):
+        for turn in range(rnd.randint(1, 6)):
+            role = rnd.choice(["user", "assistant", "system", None, "a: b", "x</turn>", "\\b", ""])
+            rows.append((conv, rnd.choice([turn, turn, None]), role, rnd.choice([None, "".join(rnd.choices(parts, k=5))])))
+    rows += [(None, 1, "user", "x"), (None, 1, "user", "x"), (-7, 0, "assistant", "y" * 100_000)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    table = table.withColumns({"formatted": F.lit(1), "turns": F.lit(1), "safe_text": F.lit(1)})
+    expected, learned = {}, {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        expected.setdefault(conv, []).append((role or "", text or ""))
+    for conv, turns in expected.items():
+        learned[conv] = "".join(text for role, text in turns if role == "assistant")
+    found = chat_format.format_conversations(table).withColumn("learned", chat_format.learned_text(F.col("segments")))
+    for r in found.collect():
+        assert [tuple(t) for t in r.turns] == expected[r.conv_id] and r.learned == learned[r.conv_id]
+        assert r.formatted == "".join(s.text for s in r.segments)
+        assert r.formatted.count("</turn>") == len(r.turns)
+    assert found.count() == len(expected)
+    assert chat_format.format_conversations(table.limit(0)).collect() == []
+
+
+# Classifiers
+
+
+def test_held_out_rows(spark):
+    found = spark.range(50).select("id", held_out("id", 3, 1).alias("h"), held_out("id", 4, 2).alias("g")).collect()
+    for r in found:
+        crc = zlib.crc32(str(r.id).encode())
+        assert (r.h, r.g) == (crc % 3 == 1, crc % 4 == 2)
+
+
+def test_samples_are_bounded_and_repeatable(spark):
+    rows = spark.range(500).select("id", F.when(F.col("id") % 10 == 0, "b").when(F.col("id") > 20, "a").alias("c"))
+    one, two = (sorted(sampled(t, "id", "c", 30).collect()) for t in (rows, rows.repartition(9)))
+    assert one == two and [sum(r.c == c for r in one) for c in "ab"] == [30, 30]
+
+
+def test_toxicity_on_unseen_documents(spark):
+    rnd = random.Random(3)
+    words = ["the", "house", "walks", "ein", "groß", "table", "nation", "stone", "river"]
+    rows, labels = [], []
+    for i in range(600):
+        text, bad = rnd.choices(words, k=rnd.randint(20, 300)), i % 5 == 0
+        if bad:
+            for _ in range(3):
+                text.insert(rnd.randrange(len(text)), rnd.choice(["blorgh", "SNAFT", "quizzle"]))
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, DOCS)
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.fit(docs.where("doc_id % 3 <> 1"), known.where("doc_id % 3 <> 1"))
+    odd = spark.createDataFrame([(900, None), (901, ""), (902, "stone " * 100_000), (900, None)], DOCS)
+    scored = toxicity.score_documents(docs.unionByName(odd).withColumn("label", F.lit(1)), model).collect()
+    assert len(scored) == 604 and all(0 <= r.score <= 1 for r in scored)
+    wrong = [r for r in scored if r.doc_id < 600 and r.doc_id % 3 == 1 and r.predicted != (r.doc_id % 5 == 0)]
+    assert len(wrong) <= 4 and not [r for r in scored if r.doc_id >= 900 and r.predicted]
+    kept = toxicity.keep_clean(docs.withColumn("score", F.lit(9)), model)
+    assert kept.columns == ["doc_id", "text", "score"] and abs(kept.count() - 480) <= 6
+
+
+def test_toxicity_without_labels_or_with_one_class(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, None)], DOCS)
+    labels = spark.createDataFrame([(1, 0), (2, None), (9, 1)], "doc_id bigint, toxic int")
+    for known in (labels, labels.limit(0), labels.where("toxic = 1"), spark.createDataFrame([(1, 1)], labels.schema)):
+        scores = [r.score for r in toxicity.score_documents(docs, toxicity.fit(docs, known)).collect()]
+        assert len(scores) == 2 and all(0 <= s <= 1 for s in scores)
+    model = toxicity.fit(docs.limit(0), labels)
+    assert toxicity.score_documents(docs.limit(0), model).collect() == []
+
+
+def test_languages_on_unseen_documents(spark, sf_dir):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    hidden = held_out("doc_id", 4, 2)
+    model = language_id.fit(docs.where(~hidden))
+    found = language_id.predict_languages(docs.where(hidden).drop("lang"), model).alias("f")
+    joined = found.join(docs.alias("d"), F.expr("f.doc_id = d.doc_id")).select("lang", "lang_pred", "score").collect()
+    assert sum(r.lang == r.lang_pred for r in joined) >= 0.97 * len(joined)
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "12 !?"), (4, "ß"), (5, "the " * 100_000), (5, "the")], DOCS)
+    rows = {r.doc_id: r for r in language_id.predict_languages(odd.withColumn("score", F.lit(1)), model).collect()}
+    assert [rows[i].lang_pred for i in (1, 2, 3)] == ["und"] * 3 and rows[4].lang_pred in model.languages
+    assert language_id.predict_languages(odd.limit(0), model).collect() == []
+
+
+def test_languages_with_few_to_learn_from(spark):
+    schema = DOCS + ", lang string"
+    one = spark.createDataFrame([(1, "a", "x"), (2, None, "y"), (3, "b", None)], schema)
+    for rows, expected in ((one, "x"), (one.limit(0), "und")):
+        model = language_id.fit(rows)
+        assert [r.lang_pred for r in language_id.predict_languages(one.where("doc_id = 3"), model).collect()] == [expected]
+
+
+def test_codewords_differ():
+    for n in (2, 3, 4, 5, 9, 30):
+        words = language_id.codewords(n)
+        apart = (words.shape[1] - words @ words.T) / 2
+        assert words.shape[0] == n and apart[~np.eye(n, dtype=bool)].min() >= max(1, words.shape[1] // 5)
+
+
+# Tokens
+
+
+@pytest.fixture(scope="module")
+def tokens():
+    return vocabulary()
+
+
+@pytest.fixture(scope="module")
+def library():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    return pytest.importorskip("tokenizers").Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def odd_texts(tokens):
+    rnd = random.Random(4)
+    pieces = [t.decode("utf-8", "ignore") for t in tokens.token_bytes]
+    yield from (None, "", " ", "\x1c\x85  a", "<|endoftext|>", "a <|endoftext|><|endoftext|>b", "😀" * 300, "a" * 5000)
+    for k in range(600):
+        n = rnd.randint(0, 300)
+        if k % 3 == 0:
+            yield "".join(rnd.choices(pieces, k=n // 4))
+        elif k % 3 == 1:
+            yield "".join(rnd.choices("abetionhs", k=n * 4))
+        else:
+            yield "".join(chr(rnd.choice([rnd.randint(0, 0x3FF), rnd.randint(0xE000, 0x1FFFF)])) for _ in range(n))
+
+
+@pytest.mark.parametrize("chunk", [3, 1024])
+def test_tokens_are_those_of_the_library(tokens, library, chunk):
+    encoder = bpe.Encoder(tokens, chunk)
+    for text in odd_texts(tokens):
+        ids = list(chain.from_iterable(encoder.encode(text)))
+        assert ids == library.encode(text or "", add_special_tokens=False).ids
+        assert bpe.decode(tokens.token_bytes, ids) == library.decode(ids, skip_special_tokens=False) == (text or "")
+
+
+def test_long_pieces_leave_the_buffer(tokens):
+    encoder = bpe.Encoder(tokens, 100)
+    groups = list(encoder.stream(b"ationhe" * 3000))
+    assert len(groups) > 100 and max(map(len, groups)) <= 100
+    assert list(chain.from_iterable(groups)) == encoder.merged(b"ationhe" * 3000)
+
+
+def test_decoding_broken_bytes(tokens, library):
+    for ids in ([tokens.byte_ids[b] for b in data] for data in (b"\xe2\x82", b"a\xff\xf0\x9f\x98b", b"\xc3\xa9\x80")):
+        assert bpe.decode(tokens.token_bytes, ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_documents_round_trip(spark, tokens):
+    texts = [None, "", "x y  z\n", "word " * 60_000, "é", "x y  z\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS).withColumns({"ids": F.lit(1), "row": F.lit(1)})
+    encoded = bpe.encode_documents(docs, tokens, ["doc_id"])
+    found = {r.doc_id: r.decoded for r in bpe.decode_documents(encoded, tokens, ["doc_id"]).collect()}
+    assert found == {i: text or "" for i, text in enumerate(texts)}
+    assert bpe.encode_documents(docs.limit(0), tokens, ["doc_id"]).collect() == []
