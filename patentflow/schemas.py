@@ -53,11 +53,12 @@ def _strings(*names: str) -> T.StructType:
 DOCUMENTS = _strings("file_name", "raw_txt")
 UNPACKED = _strings("archive", "file_name", "raw_txt", "error")
 
-BLOCKS = T.StructType(
+WALKED = T.StructType(
     [
         T.StructField("path", T.StringType()),
         T.StructField("start", T.LongType()),
-        T.StructField("stop", T.LongType()),
+        T.StructField("first", T.LongType()),
+        T.StructField("end", T.LongType()),
     ]
 )
 

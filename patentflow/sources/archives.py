@@ -1,21 +1,63 @@
 """Tar archives as document rows."""
 
-import math
+from urllib.parse import unquote
 
-from pyspark import Accumulator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from patentflow.schemas import BLOCKS, UNPACKED
+from patentflow.schemas import UNPACKED, WALKED
 from patentflow.sources import tar
 
 BLOCK_BYTES = 128 << 20
+TASKS_PER_CORE = 8
 
 
 def list_archives(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """path and length of the archives below a folder; no content is read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    return listing.option("recursiveFileLookup", True).load(path).select("path", "length")
+    """path and length of the archives below a folder; no content is read.
+
+    Spark's listing knows empty files, but gives no rows for them; they are added.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    listing = reader.option("recursiveFileLookup", True).load(path)
+    names = [(unquote(name),) for name in listing.inputFiles()]
+    named = spark.createDataFrame(names, "path string").select(_plain("path").alias("name"), "path")
+    sized = listing.select(_plain("path").alias("name"), "length")
+    return named.join(sized, "name", "left").select("path", F.coalesce("length", F.lit(0)).alias("length"))
+
+
+def _plain(path: str):
+    """Local paths are written with one or three slashes."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def archive_blocks(archives: DataFrame, block_bytes: int, tasks: int) -> DataFrame:
+    """(path, start, stop) of pieces that can be read on their own, about a block long; no stop is the end.
+
+    Archives are cut into ranges of bytes, and every range is walked by its headers alone. If each walk
+    ends where the next range's first member starts, all cuts are true member borders, since the first
+    range starts at one. A range without a member of its own joins the one before. Any other archive
+    stays whole: compressed ones, those with global headers, and those that are damaged or hold another
+    archive that a walk mistook for its own.
+    """
+    last = F.greatest(F.ceil(F.col("length") / block_bytes).cast("bigint") - 1, F.lit(0))
+    numbered = archives.select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("n"))
+    start = F.col("n") * block_bytes
+    ranges = numbered.select("path", start.alias("start"), (start + block_bytes).alias("stop"))
+    walked = ranges.repartition(tasks).mapInArrow(tar.range_walker, WALKED)
+
+    begun = walked.where(F.col("first").isNotNull())
+    in_order = Window.partitionBy("path").orderBy("first")
+    following = begun.withColumn("next", F.lead("first").over(in_order))
+    meets = F.col("end").eqNullSafe(F.col("next"))
+    by_archive = Window.partitionBy("path")
+    checked = following.withColumn("is_sound", F.min(meets.cast("int")).over(by_archive) == 1)
+    is_first = F.col("start") == 0
+    kept = checked.where(F.col("is_sound") | is_first)
+    return kept.select(
+        "path",
+        F.when(F.col("is_sound"), F.col("first")).otherwise(0).alias("start"),
+        F.when(F.col("is_sound"), F.col("next")).alias("stop"),
+    )
 
 
 def read_archives(
@@ -23,21 +65,19 @@ def read_archives(
     path: str,
     glob: str = "*",
     block_bytes: int = BLOCK_BYTES,
-    damaged: Accumulator | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """(archive, file_name, raw_txt, error): a row per regular file, a row per damaged archive.
+    """(archive, file_name, raw_txt, error): a row per regular file, a row per damage.
 
     Tasks open the archives themselves and stream them, so an archive may exceed the 2 GB of a
-    binary column. Plain archives beyond a block are first cut at member borders, so that one large
-    archive is read by many tasks; compressed ones cannot be cut. Only block positions are
-    shuffled, spread over as many tasks as there are blocks to expect. `damaged` tells after an
-    action whether there were error rows; retried tasks may count theirs again.
+    binary column. Large plain archives are read by many tasks. Only block positions are shuffled;
+    `tasks`, eight per core unless given, bounds the number of partitions, each of which takes several
+    blocks. Nothing is read before an action. What lies behind damage in an archive is lost, as in a
+    sequential reading.
     """
-    archives = list_archives(spark, path, glob)
-    total = archives.agg(F.sum("length")).first()[0] or 0
-    blocks = archives.mapInArrow(tar.block_planner(block_bytes), BLOCKS)
-    spread = blocks.repartition(max(1, math.ceil(total / block_bytes)))
-    return spread.mapInArrow(tar.block_reader(damaged), UNPACKED)
+    tasks = tasks or TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    blocks = archive_blocks(list_archives(spark, path, glob), block_bytes, tasks)
+    return blocks.repartition(tasks).mapInArrow(tar.block_reader, UNPACKED)
 
 
 def unpack_blobs(archives: DataFrame) -> DataFrame:

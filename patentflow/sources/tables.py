@@ -8,18 +8,26 @@ from patentflow.schemas import WORD_COUNTS
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table; an input of fewer splits than cores is spread over the cores."""
-    table = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    """A parquet table. The session's reader options decide about the size of its splits."""
+    return spark.read.parquet(path)
 
 
 def read_parts(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """All parquet parts of a folder; an unreadable part is logged and left out."""
+    """All parquet parts of a folder; an unreadable part is left out, see `unreadable_parts`."""
     reader = spark.read.option("ignoreCorruptFiles", True)
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
+def unreadable_parts(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """`part`: the files of a folder that give no row when unreadable ones are left out.
+
+    Files that are readable but have no rows are among them: neither contributes.
+    """
+    parts = read_parts(spark, path, schema)
+    listed = spark.createDataFrame([(name,) for name in parts.inputFiles()], "part string")
+    return listed.join(parts.select(F.input_file_name().alias("part")).distinct(), "part", "left_anti")
+
+
 def read_file_list(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a text file as `value`."""
     return spark.read.text(path)

@@ -1,4 +1,4 @@
-"""What tasks do with a tar archive: find split points in it, or stream its files out.
+"""What tasks do with a tar archive: find where its ranges begin, or stream its files out.
 
 Only the standard library and Arrow are used here, and the module travels to the executors with
 the functions, so the package need not be installed there.
@@ -21,25 +21,52 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BUFFER_BYTES = 8 << 20
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 2000
+# How far before a range the search for a header starts: further than headers for long names reach.
+LOOK_BACK = 64 << 10
+# An Arrow string holds less than this.
+MEMBER_BYTES = (1 << 31) - 1
 
 DAMAGED = (tarfile.TarError, EOFError, gzip.BadGzipFile, zlib.error, lzma.LZMAError)
 
 
-def open_path(path):
-    """A buffered, seekable file for a path as Spark reports it."""
+def open_raw(path):
+    """An unbuffered, seekable file for a path as Spark reports it."""
     if path.startswith("file:"):
         store, name = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
     else:
         uri = "s3" + path[3:] if path.startswith("s3a:") else path
         store, name = fs.FileSystem.from_uri(quote(uri, safe=":/@"))
-    return io.BufferedReader(store.open_input_file(name), BUFFER_BYTES)
+    return store.open_input_file(name)
+
+
+def open_path(path):
+    """The same file, buffered."""
+    return io.BufferedReader(open_raw(path), BUFFER_BYTES)
+
+
+class Header(tarfile.TarInfo):
+    """A header that tells its archive when the block that ends it was read."""
+
+    @classmethod
+    def fromtarfile(cls, tar):
+        try:
+            return super().fromtarfile(tar)
+        except tarfile.EOFHeaderError:
+            tar.saw_end = True
+            raise
 
 
 def members(tar):
-    """The members in file order, without keeping the headers that were passed."""
+    """The members in file order, without keeping the headers that were passed.
+
+    The standard library takes a header that is broken, cut or missing for the end of the archive. Here
+    only a block of zeros is the end.
+    """
     while (member := tar.next()) is not None:
         yield member
         tar.members.clear()
+    if not getattr(tar, "saw_end", False):
+        raise tarfile.ReadError("a header is broken or the archive is cut off")
 
 
 def is_damage(error):
@@ -47,58 +74,96 @@ def is_damage(error):
     return isinstance(error, DAMAGED) or str(error) == "Invalid data stream"
 
 
-def split_points(path, length, block_bytes):
-    """Member offsets at which reading may start, about a block apart; only the headers are parsed.
-
-    A compressed archive has no such offsets and global headers would have to be known in every
-    block; both stay whole.
+def is_header(block):
+    """Whether 512 bytes are a valid header with the usual magic word."""
+    if len(block) < tarfile.BLOCKSIZE or block[257:262] != b"ustar":
+        return False
+    try:
+        tarfile.TarInfo.frombuf(block, tarfile.ENCODING, "surrogateescape")
+    except tarfile.HeaderError:
+        return False
+    return True
+
+
+def is_cuttable(stream):
+    """Plain archives can be read in ranges, unless global headers hold for all their members."""
+    stream.seek(0)
+    head = stream.read(tarfile.BLOCKSIZE)
+    return is_header(head) and head[156:157] != tarfile.XGLTYPE
+
+
+def next_header(stream, start, stop, chunk=LOOK_BACK):
+    """Position of the first valid header from a start on, None when none starts before the stop."""
+    start = -(-start // tarfile.BLOCKSIZE) * tarfile.BLOCKSIZE
+    stream.seek(start)
+    while start < stop and (data := stream.read(chunk)):
+        found = data.find(b"ustar", 257)
+        while found >= 0:
+            at = found - 257
+            if at % tarfile.BLOCKSIZE == 0 and is_header(data[at : at + tarfile.BLOCKSIZE]):
+                return start + at
+            found = data.find(b"ustar", found + 1)
+        start += len(data)
+    return None
+
+
+def walk_range(path, start, stop):
+    """(first, end): where the first member of a range and the first one behind it start.
+
+    Only headers are read, and for a range in the middle what lies before its first header. The walk starts
+    a little early, so that the headers of a long name are taken together. No first member is seen from
+    the middle of a long one; no end where the archive ends or is damaged.
     """
-    starts = [0]
-    if length <= block_bytes:
-        return starts
-    with open_path(path) as stream:
+    with open_raw(path) as stream:
+        if not is_cuttable(stream):
+            return (0 if start == 0 else None), None
+        at = 0 if start == 0 else next_header(stream, max(0, start - LOOK_BACK), stop)
+        if at is None:
+            return None, None
+        first = None
         try:
-            tar = tarfile.open(fileobj=stream, mode="r:")
-            for member in members(tar):
-                if member.offset - starts[-1] >= block_bytes:
-                    starts.append(member.offset)
-            return [0] if tar.pax_headers else starts
+            stream.seek(at)
+            for member in members(tarfile.open(fileobj=stream, mode="r:", tarinfo=Header)):
+                if member.offset >= stop:
+                    return first, member.offset if first is not None else None
+                if first is None and member.offset >= start:
+                    first = member.offset
         except tarfile.TarError:
-            return starts
+            pass
+        return first, None
 
 
-def block_planner(block_bytes):
-    def plan(batches):
-        for batch in batches:
-            rows = batch.to_pydict()
-            for path, length in zip(rows["path"], rows["length"]):
-                starts = split_points(path, length, block_bytes)
-                stops = starts[1:] + [None]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([path] * len(starts), pa.string()),
-                        pa.array(starts, pa.int64()),
-                        pa.array(stops, pa.int64()),
-                    ],
-                    names=["path", "start", "stop"],
-                )
-
-    return plan
+def range_walker(batches):
+    """(path, start, first, end) of each range (path, start, stop)."""
+    for batch in batches:
+        rows = [(r["path"], r["start"], *walk_range(r["path"], r["start"], r["stop"])) for r in batch.to_pylist()]
+        paths, *numbers = zip(*rows)
+        columns = [pa.array(paths, pa.string()), *(pa.array(column, pa.int64()) for column in numbers)]
+        yield pa.RecordBatch.from_arrays(columns, names=["path", "start", "first", "end"])
 
 
 def files(archive, stream, stop=None):
-    """(archive, name, text, None) per regular file, and (archive, None, None, error) on damage."""
+    """(archive, name, text, None) per regular file, and (archive, None, None, error) on damage.
+
+    Without a stop the archive must end with a block of zeros and nothing else may follow; with one, a
+    member must start exactly there.
+    """
     try:
-        for member in members(tar := tarfile.open(fileobj=stream, mode="r:*")):
+        tar = tarfile.open(fileobj=stream, mode="r:*", tarinfo=Header)
+        for member in members(tar):
             if stop is not None and member.offset >= stop:
-                break
-            if member.isreg():
+                if member.offset != stop:
+                    raise tarfile.ReadError("ranges do not meet")
+                return
+            if member.isreg() and member.size > MEMBER_BYTES:
+                yield archive, None, None, f"{member.name}: {member.size} bytes are too many"
+            elif member.isreg():
                 content = tar.extractfile(member).read()
                 yield archive, member.name, content.decode("utf-8", "replace"), None
-        if tar.fileobj is not stream:
-            # The checksum of compressed data is only verified at its very end.
-            while tar.fileobj.read(BUFFER_BYTES):
-                pass
+        # Reading on also verifies the checksum of compressed data, which is at its very end.
+        while rest := tar.fileobj.read(BUFFER_BYTES):
+            if rest.count(0) != len(rest):
+                raise tarfile.ReadError("data follows the end of the archive")
     except (*DAMAGED, OSError) as error:
         if not is_damage(error):
             raise
@@ -123,20 +188,17 @@ def to_batch(rows):
     return pa.RecordBatch.from_arrays(columns, names=["archive", "file_name", "raw_txt", "error"])
 
 
-def block_reader(damaged=None):
-    """Reader of archive blocks (path, start, stop) where they are stored; counts error rows."""
+def block_reader(batches):
+    """Files of archive blocks (path, start, stop), read where they are stored."""
 
-    def rows(batches):
+    def rows():
         for batch in batches:
             for block in batch.to_pylist():
                 with open_path(block["path"]) as stream:
                     stream.seek(block["start"])
-                    for row in files(block["path"], stream, block["stop"]):
-                        if damaged is not None and row[3] is not None:
-                            damaged.add(1)
-                        yield row
+                    yield from files(block["path"], stream, block["stop"])
 
-    return lambda batches: to_batches(rows(batches))
+    return to_batches(rows())
 
 
 def read_blobs(batches):

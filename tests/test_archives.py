@@ -13,6 +13,7 @@ from patentflow.plans import corpus
 from patentflow.schemas import ARCHIVE_BLOBS
 from patentflow.sources import tar
 from patentflow.sources.archives import (
+    archive_blocks,
     documents,
     failures,
     list_archives,
@@ -69,28 +70,115 @@ def test_large_plain_archive_is_read_in_blocks(spark, tmp_path, layout):
     """Long names have header chains of several entries, which a block must not tear apart."""
     files = many_files()
     path = write_tar(tmp_path / "big.tar", files, format=layout)
-    block = 20_000
-    assert len(tar.split_points(f"file:{path}", os.path.getsize(path), block)) > 10
-    found = read_archives(spark, str(tmp_path), block_bytes=block)
+    found = read_archives(spark, str(tmp_path), block_bytes=20_000, tasks=10)
+    assert len(blocks(spark, tmp_path, 20_000)) > 10
     assert rows(documents(found)) == sorted(files, key=repr)
     assert found.select(F.spark_partition_id()).distinct().count() > 5
 
 
-def test_compressed_archive_stays_whole(tmp_path):
-    path = write_tar(tmp_path / "big.tgz", many_files(), "w:gz")
-    assert tar.split_points(f"file:{path}", os.path.getsize(path), 1000) == [0]
+def blocks(spark, folder, block_bytes):
+    cut = archive_blocks(list_archives(spark, str(folder)), block_bytes, 4)
+    return sorted((r.start, r.stop) for r in cut.collect())
+
+
+def test_members_longer_than_a_range(spark, tmp_path):
+    files = [("EP/a.xml", "x" * 200_000), ("EP/b.xml", "y"), ("EP/c.xml", "z" * 300_000), ("EP/d.xml", "w")]
+    write_tar(tmp_path / "big.tar", files)
+    cut = blocks(spark, tmp_path, 10_000)
+    assert len(cut) > 2 and [stop for _, stop in cut[:-1]] == [start for start, _ in cut[1:]]
+    assert rows(documents(read_archives(spark, str(tmp_path), block_bytes=10_000))) == sorted(files, key=repr)
+
+
+def test_archive_inside_an_archive(spark, tmp_path):
+    """Headers inside a member are no members, though a walk that starts there takes them for some."""
+    inner = write_tar(tmp_path / "inner", many_files(200)).read_bytes()
+    (tmp_path / "outer").mkdir()
+    files = [("EP/a.xml", "a"), ("EP/inner.tar", inner), ("EP/b.xml", "b" * 90_000), ("EP/c.xml", "c")]
+    write_tar(tmp_path / "outer" / "o.tar", files)
+    found = read_archives(spark, f"{tmp_path}/outer", block_bytes=20_000)
+    names = [name for name, _ in rows(documents(found))]
+    assert names == ["EP/a.xml", "EP/b.xml", "EP/c.xml", "EP/inner.tar"] and not failures(found).collect()
+
+
+def test_planning_reads_little(tmp_path, monkeypatch):
+    files = [(f"EP/{i}.xml", "x" * 30_000) for i in range(300)]
+    path = write_tar(tmp_path / "big.tar", files)
+    size, read = os.path.getsize(path), []
+
+    class Counted:
+        def __init__(self, path):
+            self.file = open(path.removeprefix("file:"), "rb", buffering=0)
+
+        def read(self, n):
+            data = self.file.read(n)
+            read.append(len(data))
+            return data
+
+        def __getattr__(self, name):
+            return getattr(self.file, name)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.file.close()
+
+    monkeypatch.setattr(tar, "open_raw", Counted)
+    step = 1_500_000
+    walked = [tar.walk_range(f"file:{path}", at, at + step) for at in range(0, size, step)]
+    assert [end for _, end in walked[:-1]] == [first for first, _ in walked[1:]]
+    assert sum(read) < 0.1 * size
+
+
+def test_reading_does_nothing_before_an_action(spark, tmp_path):
+    write_tar(tmp_path / "a.tar", FILES)
+    tracker = spark.sparkContext.statusTracker()
+    before = tracker.getJobIdsForGroup(None)
+    read_archives(spark, str(tmp_path))
+    assert tracker.getJobIdsForGroup(None) == before
+
+
+def test_compressed_archive_stays_whole(spark, tmp_path):
+    write_tar(tmp_path / "big.tgz", many_files(), "w:gz")
+    assert blocks(spark, tmp_path, 1000) == [(0, None)]
 
 
 def test_global_headers_keep_an_archive_whole(spark, tmp_path):
     files = many_files(100)
     options = {"format": tarfile.PAX_FORMAT, "pax_headers": {"comment": "x"}}
     path = write_tar(tmp_path / "global.tar", files, **options)
-    assert tar.split_points(f"file:{path}", os.path.getsize(path), 1000) == [0]
+    assert blocks(spark, tmp_path, 1000) == [(0, None)]
     assert rows(documents(read_archives(spark, str(tmp_path), block_bytes=1000))) == sorted(files, key=repr)
+    path.write_bytes(path.read_bytes()[:60_000])
+    assert blocks(spark, tmp_path, 1000) == [(0, None)]
+
+
+DAMAGE = {
+    "overwritten header": lambda data, at: data[:at] + b"x" * 512 + data[at + 512 :],
+    "zeroed header": lambda data, at: data[:at] + bytes(512) + data[at + 512 :],
+    "cut at a border": lambda data, at: data[:at],
+    "cut in a header": lambda data, at: data[: at + 100],
+    "cut in a member": lambda data, at: data[: at + 800],
+}
+
+
+@pytest.mark.parametrize("kind", DAMAGE)
+@pytest.mark.parametrize("block_bytes", [2000, 1 << 20])
+@pytest.mark.parametrize("suffix", ["tar", "tgz"])
+def test_all_damage_is_reported(spark, tmp_path, kind, block_bytes, suffix):
+    """The members before the damage are read and one error is reported, in blocks and whole."""
+    files = [(f"EP/{i}.xml", f"{i}" * 1000) for i in range(10)]
+    path = write_tar(tmp_path / "whole", files)
+    with tarfile.open(path) as archive:
+        at = archive.getmembers()[5].offset
+    data = DAMAGE[kind](path.read_bytes(), at)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / f"a.{suffix}").write_bytes(gzip.compress(data) if suffix == "tgz" else data)
+    found = read_archives(spark, f"{tmp_path}/in", block_bytes=block_bytes)
+    assert rows(documents(found)) == files[:4] and failures(found).count() == 1
 
 
 def test_damaged_archives_are_reported_and_the_rest_is_read(spark, tmp_path):
-    """Files of zero bytes are not even listed by Spark; they give no rows either way."""
     write_tar(tmp_path / "good.tar", FILES)
     (tmp_path / "junk.tar").write_bytes(b"junk")
     (tmp_path / "empty.tar").write_bytes(b"")
@@ -98,7 +186,7 @@ def test_damaged_archives_are_reported_and_the_rest_is_read(spark, tmp_path):
     (tmp_path / "cut.tgz").write_bytes(whole[: len(whole) // 2])
     found = read_archives(spark, str(tmp_path))
     bad = {os.path.basename(row.archive) for row in failures(found).collect()}
-    assert bad == {"junk.tar", "cut.tgz"}
+    assert bad == {"junk.tar", "cut.tgz", "empty.tar"}
     assert set(FILES) <= {tuple(row) for row in documents(found).collect()}
 
 
@@ -108,14 +196,11 @@ def test_damage_inside_compressed_data(spark, tmp_path, mode):
     data = bytearray(write_tar(tmp_path / "x.tar", noise, mode).read_bytes())
     data[len(data) // 2 : len(data) // 2 + 2000] = bytes(2000)
     (tmp_path / "x.tar").write_bytes(data)
-    damaged = spark.sparkContext.accumulator(0)
-    found = read_archives(spark, str(tmp_path), damaged=damaged)
-    assert failures(found).count() == 1
-    assert damaged.value == 1
+    assert failures(read_archives(spark, str(tmp_path))).count() == 1
 
 
 def test_truncated_plain_archive_in_blocks(spark, tmp_path):
-    """Blocks before the cut are complete; the cut is reported."""
+    """What stands before the cut is complete; the cut is reported."""
     files = [(f"EP/{i}.xml", "x" * 3000) for i in range(50)]
     path = write_tar(tmp_path / "t.tar", files)
     path.write_bytes(path.read_bytes()[:100_000])
