@@ -34,6 +34,12 @@ def abstract(text: Column) -> Column:
     return segment(F.replace(paragraph, F.lit("<br/>"), F.lit("")), ">")
 
 
+def full_abstract(text: Column) -> Column:
+    """The same paragraph to its end, nested tags removed and their contents kept."""
+    paragraph = before(segment(segment(text, "<abstract"), "<p"), "</p>")
+    return F.regexp_replace(F.regexp_replace(paragraph, "^[^>]*>?", ""), "<[^>]*>", "")
+
+
 def title(text: Column) -> Column:
     """English title. Titles in other languages may precede it; the search ends where it ends."""
     ends = f"(?:{TITLE_CLOSE}|{TITLE_OPEN}|\\z)"

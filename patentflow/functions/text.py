@@ -1,13 +1,21 @@
 """Cleaning, language test, tokens, and small string helpers."""
 
 from collections.abc import Iterable
+from datetime import date
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The stop words that take effect on upper-cased text.
 STOP_WORDS = ("THE", "A", "OF", "TO", "AND", "IN", "IS", "AN", "FOR", "WITH", "IF")
 
+
+def english_stop_words() -> list[str]:
+    """Spark's English stop words in upper case, for callers who want all of them gone."""
+    return [word.upper() for word in StopWordsRemover.loadDefaultStopWords("english")]
+
+
 # What cleaning replaces, in this order; "\\n" is a literal backslash and n.
 CLEANING = (
     ("\n", " "),
@@ -65,6 +73,6 @@ def base_name(path: Column) -> Column:
     return F.get(F.split(path, "/"), F.lit(1))
 
 
-def run_date(day: str) -> Column:
-    """`yyyy-mm-dd` as `yyyymmdd`."""
-    return F.date_format(F.to_date(F.lit(day)), "yyyyMMdd")
+def compact_date(day: str) -> str:
+    """`yyyy-mm-dd` as `yyyymmdd`; any other text is refused."""
+    return date.fromisoformat(day).strftime("%Y%m%d")

@@ -10,6 +10,7 @@ def build_session(name: str = "patentflow", **settings: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.minPartitionNum": "64",
         "spark.sql.session.timeZone": "UTC",
     }
     for key, value in {**defaults, **settings}.items():

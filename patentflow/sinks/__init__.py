@@ -18,16 +18,15 @@ def write_table(df: DataFrame, path: str, max_rows: int | None = None) -> None:
 
 
 def write_dated(df: DataFrame, path: str, day: str) -> None:
-    """Write under the run date. Only that date is replaced, so a rerun does not repeat rows, and
-    no rows leave no partition."""
-    dated = df.withColumn("ex_date", text.run_date(day))
-    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.option("compression", "snappy").partitionBy("ex_date").parquet(path)
+    """Write under the run date. Exactly that date is replaced: a rerun repeats no rows, and one without
+    rows leaves none of the earlier ones."""
+    folder = f"{path.rstrip('/')}/ex_date={text.compact_date(day)}"
+    df.write.mode("overwrite").option("compression", "snappy").parquet(folder)
 
 
 def read_dated(spark: SparkSession, path: str) -> DataFrame:
     """A dated table with the date as text."""
-    return spark.read.parquet(path).withColumn("ex_date", F.col("ex_date").cast("string"))
+    return spark.read.option("basePath", path).parquet(path).withColumn("ex_date", F.col("ex_date").cast("string"))
 
 
 def write_by_target(df: DataFrame, path: str) -> None:

@@ -1,6 +1,5 @@
 """Shared scratch space for tables that cut a long lineage."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,18 +9,22 @@ def scratch_dir(spark: SparkSession) -> str:
     """A new folder name below the shared folder the session names in spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="patentflow-")
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/')}/patentflow/{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write the rows to shared scratch once and read them back.
+def stage(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write the rows to `path`, or else to shared scratch, once and read them back.
 
     Unlike a cached plan this survives lost executors, and the scan has real size statistics, so
     Catalyst can decide about broadcasts.
     """
-    path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
+    path = path or scratch_dir(df.sparkSession)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job has staged in, on any storage that Spark reaches."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

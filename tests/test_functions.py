@@ -164,8 +164,20 @@ def test_base_name(spark):
     assert apply(spark, text.base_name, "f/a.xml", "no-slash", "x/y/z.xml") == ["a.xml", None, "y"]
 
 
-def test_run_date(spark):
-    assert values(spark.range(1).select(text.run_date("2024-01-31"))) == ["20240131"]
+def test_compact_date():
+    assert text.compact_date("2024-01-31") == "20240131"
+    with pytest.raises(ValueError):
+        text.compact_date("../x")
+
+
+def test_whole_abstract(spark):
+    raw = '<abstract lang="en"><p id="p1">Foo <b>bar</b><br/> baz</p><p>no</p></abstract>'
+    table = spark.createDataFrame([(raw,), ("<nothing/>",)], "raw_txt string")
+    assert values(table.select(markup.full_abstract(F.col("raw_txt")))) == ["Foo bar baz", ""]
+
+
+def test_english_stop_words():
+    assert {"THE", "WE", "WITH"} <= set(text.english_stop_words())
 
 
 PIECES = [
