@@ -1,6 +1,6 @@
 """Labelled training rows from a list of known positives."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patentflow.functions import text
@@ -14,8 +14,7 @@ def positives(docs: DataFrame, known: DataFrame) -> DataFrame:
     """Rows whose base name is in `known(base_name)`.
 
     No broadcast hint: Catalyst broadcasts the list while its size is below the threshold and
-    shuffles both sides by base name beyond it.
-    """
+    shuffles both sides by base name beyond it.     """
     return _named(docs).join(known, "base_name", "left_semi").drop("base_name")
 
 
@@ -30,23 +29,43 @@ def _named(docs: DataFrame) -> DataFrame:
 
 
 def first_others(docs: DataFrame, known: DataFrame, limit: int = MAX_NEGATIVES) -> DataFrame:
-    """The first `limit` negatives by file name. Give it narrow rows, not raw text.
+    """The first `limit` negatives by file name, with their columns. Give it a stored table of narrow rows."""
+    return first_rows(others(docs, known), limit)
+
+
+def first_rows(rows: DataFrame, limit: int) -> DataFrame:
+    """The first `limit` rows by file name. Names alone take part in the choice."""
+    chosen = first_names(rows.select("file_name"), limit).distinct()
+    return rows.join(chosen, "file_name", "left_semi").orderBy("file_name").limit(limit)
+
 
-    Each task of a top-n hands on up to n rows. A scan of raw documents has fewer rows per task
-    than that, so without the rebalance all negatives would meet in the final task; rebalanced,
-    a task holds a whole advisory-size partition of narrow rows, and hot names are split.
+def first_names(names: DataFrame, limit: int, groups: int = 256) -> DataFrame:
+    """The smallest `limit` values of the only column, repetitions included.
+
+    They are first cut down to `limit` in each of many groups; otherwise every task of a large table
+    would hand that many to the last one.
     """
-    rows = others(docs, known).hint("rebalance", "file_name")
-    return rows.orderBy("file_name").limit(limit)
+    name = names.columns[0]
+    number = F.pmod(F.xxhash64(name), F.lit(groups))
+    nth = F.row_number().over(Window.partitionBy("number").orderBy(name))
+    few = names.withColumn("number", number).withColumn("nth", nth).where(F.col("nth") <= limit)
+    return few.select(name).orderBy(name).limit(limit)
+
 
+def label(docs: DataFrame, known: DataFrame, max_negatives: int | None = MAX_NEGATIVES) -> DataFrame:
+    """All positives as target 0 and the first negatives, or with no bound all of them, as target 1.
 
-def label(
-    docs: DataFrame, known: DataFrame, max_negatives: int = MAX_NEGATIVES
-) -> DataFrame:
-    """All positives as target 0 and the first negatives as target 1."""
-    energy = positives(docs, known).withColumn("target", F.lit(ENERGY))
-    other = first_others(docs, known, max_negatives).withColumn("target", F.lit(OTHER))
-    return energy.unionByName(other)
+    One join tells the two apart; `docs` should be a stored table of narrow rows.
+    """
+    listed = known.distinct().withColumn("is_known", F.lit(True))
+    flagged = _named(docs).join(listed, "base_name", "left").drop("base_name")
+    is_known = F.coalesce("is_known", F.lit(False))
+    target = F.when(is_known, ENERGY).otherwise(OTHER)
+    rows = flagged.withColumn("target", target).drop("is_known")
+    if max_negatives is None:
+        return rows
+    negatives = first_rows(rows.where(F.col("target") == OTHER), max_negatives)
+    return rows.where(F.col("target") == ENERGY).unionByName(negatives)
 
 
 def with_split(df: DataFrame, parts: int = 4) -> DataFrame:
@@ -56,5 +75,5 @@ def with_split(df: DataFrame, parts: int = 4) -> DataFrame:
 
 
 def shuffle_rows(df: DataFrame, seed: int = 0) -> DataFrame:
-    """Random order. Meant for a scan or a staged table, where a retried task repeats its draws."""
+    """Random order. Meant for narrow rows of a stored table, where a retried task repeats its draws."""
     return df.orderBy(F.rand(seed))

@@ -46,12 +46,16 @@ def assembler() -> VectorAssembler:
 
 
 def fit_forest(
-    encoded: DataFrame, trees: int = 100, depth: int = 30, bins: int = 512, seed: int = 0
+    encoded: DataFrame, trees: int = 100, depth: int = 30, bins: int | None = None, seed: int = 0
 ) -> PipelineModel:
     """100 fully grown trees over four features per split, the ids taken as ordered numbers.
 
-    Depth 30 is the most the library allows; bins bounds the split candidates per feature.
+    Depth 30 is the most the library allows. A split may fall between any two ids: unless `bins` is
+    given, there is a bin for each id of the larger dictionary and one for unseen codes.
     """
+    if bins is None:
+        largest = encoded.agg(F.greatest(*[F.max(name) for name in TRAIN_COLS])).first()[0]
+        bins = max(2, (largest or 0) + 2)
     forest = RandomForestClassifier(
         labelCol="target",
         numTrees=trees,

@@ -18,16 +18,16 @@ FIELDS = {
 }
 
 
-def extract_fields(docs: DataFrame, *names: str) -> DataFrame:
-    """file_name and the named fields (all of them by default), as they stand in the markup.
+def extract_fields(docs: DataFrame, *names: str, keep: tuple[str, ...] = ("file_name",)) -> DataFrame:
+    """The `keep` columns and the named fields (all of them by default), as they stand in the markup.
 
     The fields leave through a one-element generator. Catalyst pushes filters through projections
     by repeating their expressions, which would search each document again for every predicate on
     an extracted field; it does not push them through a generator.
     """
     wanted = [FIELDS[name](F.col("raw_txt")).alias(name) for name in names or FIELDS]
-    found = docs.select("file_name", F.array(F.struct(*wanted)).alias("fields"))
-    return found.select("file_name", F.inline_outer("fields"))
+    found = docs.select(*keep, F.array(F.struct(*wanted)).alias("fields"))
+    return found.select(*keep, F.inline_outer("fields"))
 
 
 def keep_complete(fields: DataFrame) -> DataFrame:
@@ -51,14 +51,27 @@ def clean_columns(df: DataFrame, *names: str) -> DataFrame:
 def extract_patents(docs: DataFrame) -> DataFrame:
     """Complete English patents: file_name, abstract, title, year and the six code lists."""
     kept = extract_fields(docs).transform(keep_complete).transform(keep_english)
-    cleaned = kept.transform(clean_columns, "abstract", "title")
-    return with_code_lists(cleaned, "file_name", "abstract", "title", "year")
+    return _cleaned(kept, "file_name")
 
 
-def extract_codes(docs: DataFrame) -> DataFrame:
-    """file_name and the six code lists of every document, unfiltered."""
+def extract_reported(unpacked: DataFrame) -> DataFrame:
+    """The same of unpacked archives, together with the damage met: rows with `archive` and `error` alone."""
+    keep = ("archive", "error", "file_name")
+    fields = extract_fields(unpacked, keep=keep).withColumn("is_damage", F.col("error").isNotNull())
+    whole = (F.col("abstract") != "") & (F.col("title") != "")
+    english = text.is_ascii(F.col("abstract")) & text.is_ascii(F.col("title"))
+    return _cleaned(fields.where(F.col("is_damage") | (whole & english)), *keep)
+
+
+def _cleaned(fields: DataFrame, *keep: str) -> DataFrame:
+    cleaned = fields.transform(clean_columns, "abstract", "title")
+    return with_code_lists(cleaned, *keep, "abstract", "title", "year")
+
+
+def extract_codes(docs: DataFrame, keep: tuple[str, ...] = ("file_name",)) -> DataFrame:
+    """The `keep` columns and the six code lists of every document, unfiltered."""
     block = markup.ipc_block(F.col("raw_txt")).alias("ipc_block")
-    return with_code_lists(docs.select("file_name", block), "file_name")
+    return with_code_lists(docs.select(*keep, block), *keep)
 
 
 def with_code_lists(df: DataFrame, *keep: str) -> DataFrame:

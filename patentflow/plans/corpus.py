@@ -113,3 +113,64 @@ def packed(docs: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
             yield close(held)
 
     return docs.select("file_name", "raw_txt").mapInArrow(pack, ARCHIVE_BLOBS)
+
+
+def write_archives(blobs: DataFrame, folder: str) -> None:
+    """Write `(path, content)` rows as files below a folder, by tasks."""
+
+    def write(batches):
+        from urllib.parse import quote
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                target = f"{folder}/{row['path']}"
+                if target.startswith(("/", "file:")):
+                    store, name = fs.LocalFileSystem(), "/" + target.removeprefix("file:").lstrip("/")
+                else:
+                    store, name = fs.FileSystem.from_uri(quote(target, safe=":/@"))
+                store.create_dir(name.rpartition("/")[0])
+                with store.open_output_stream(name) as stream:
+                    stream.write(row["content"])
+            yield pa.RecordBatch.from_arrays([batch.column("path")], names=["path"])
+
+    blobs.mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()
+
+
+def damaged(docs: DataFrame) -> DataFrame:
+    """An archive of three members for each document, `(path, content)`, spoilt in a way its id decides.
+
+    By the id's remainder by six: 0, the second header is overwritten; 1, it is zeroed; 2, cut before the
+    third header; 3, cut inside it; 4, nothing is left; 5, sound.
+    """
+
+    def spoil(batches):
+        import io
+        import tarfile
+
+        import pyarrow as pa
+
+        for batch in batches:
+            contents = []
+            for row in batch.to_pylist():
+                buffer, starts = io.BytesIO(), []
+                with tarfile.open(fileobj=buffer, mode="w") as tar:
+                    for number in range(3):
+                        starts.append(tar.offset)
+                        content = (row["text"] or "").encode()
+                        member = tarfile.TarInfo(f"d{row['doc_id']}/{number}.xml")
+                        member.size = len(content)
+                        tar.addfile(member, io.BytesIO(content))
+                data, kind = bytearray(buffer.getvalue()), row["doc_id"] % 6
+                if kind < 2:
+                    data[starts[1] : starts[1] + 512] = (b"x", b"\0")[kind] * 512
+                elif kind < 5:
+                    del data[(starts[2], starts[2] + 100, 0)[kind - 2] :]
+                contents.append(bytes(data))
+            paths = [f"{doc_id}.tar" for doc_id in batch.column("doc_id").to_pylist()]
+            columns = [pa.array(paths, pa.string()), pa.array(contents, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "content"])
+
+    return docs.select("doc_id", "text").mapInArrow(spoil, ARCHIVE_BLOBS)

@@ -68,9 +68,10 @@ _STEPS = {
         SELECT word, count(*) AS n
         FROM (SELECT replace(unnest(tokens), '"', '') AS word FROM tokens) GROUP BY word""",
     "named": "SELECT *, split_part(file_name, '/', 2) AS base_name FROM patents",
-    "others": """
-        SELECT file_name FROM named WHERE base_name NOT IN (SELECT base_name FROM known)
-        ORDER BY file_name LIMIT 2000""",
+    "others": "SELECT file_name FROM named WHERE base_name NOT IN (SELECT base_name FROM known)",
+    "first_2000": "SELECT file_name FROM others ORDER BY file_name LIMIT 2000",
+    "energy": """
+        SELECT file_name, coalesce(classes[1] >= '01' AND classes[1] < '30', false) AS is_energy FROM codes""",
     "positives": "SELECT file_name, raw_txt FROM named WHERE base_name IN (SELECT base_name FROM known)",
 }
 
@@ -104,6 +105,9 @@ def _with(body: str) -> str:
 
 _BODIES = {
     "extract_abstract": "SELECT file_name, abstract FROM fields",
+    "extract_full_abstract": """
+        SELECT file_name, regexp_replace(regexp_replace(split_part(split_part(split_part(raw_txt, '<abstract', 2),
+          '<p', 2), '</p>', 1), '^[^>]*>?', ''), '<[^>]*>', '', 'g') AS abstract FROM patents""",
     "extract_title": "SELECT file_name, title FROM fields",
     "extract_year": 'SELECT file_name, "year" FROM fields',
     "extract_patent": f'SELECT file_name, title, abstract, "year", {_JOINED} FROM english',
@@ -127,6 +131,10 @@ _BODIES = {
     "tokens_list": """
         SELECT file_name, cast(len(tokens) AS int) AS n_tokens,
           array_to_string(tokens, ',') AS tokens FROM tokens""",
+    "token_list_parse": """
+        SELECT file_name, cast(len(t) AS int) AS n_tokens, array_to_string(t, ',') AS tokens
+        FROM (SELECT file_name, string_split(replace(replace(replace(replace(array_to_string(tokens, ','),
+          '[', ''), ']', ''), ' ', ''), '"', ''), ',') AS t FROM tokens)""",
     "agg_word_count": "SELECT word, n FROM counts",
     "agg_count_merge": "SELECT word, n FROM counts",
     "agg_word_topk": "SELECT word, n FROM counts WHERE word <> '' ORDER BY n DESC, word LIMIT 1000",
@@ -139,24 +147,39 @@ _BODIES = {
         SELECT base_name, true AS kept FROM named UNION ALL SELECT url, false FROM pages""",
     "join_semi_positive": "SELECT file_name, raw_txt FROM positives",
     "join_anti_negative": "SELECT file_name FROM others",
+    "first_negatives": "SELECT file_name FROM others ORDER BY file_name LIMIT 20",
     "label_union": f"""
         SELECT file_name, target, {_JOINED} FROM codes JOIN (
           SELECT file_name, 0 AS target FROM positives
-          UNION ALL SELECT file_name, 1 FROM others) USING (file_name)""",
+          UNION ALL SELECT file_name, 1 FROM first_2000) USING (file_name)""",
     "split_train_test": """
         SELECT file_name,
           cast('0x' || substr(md5(file_name), 1, 8) AS bigint) % 4 = 0 AS is_test FROM patents""",
-    "sample_shuffle": "SELECT doc_id, text FROM documents",
+    "sample_shuffle": "SELECT doc_id, NULL::boolean AS is_shuffled FROM documents UNION ALL SELECT NULL, true",
     "dict_categorical": _dictionary(lists_of("categorical")),
     "dict_numeric": _dictionary(lists_of("numeric")),
     "encode_codes": _encoded("int"),
     "ml_features": _encoded("double"),
+    "ml_accuracy": """
+        SELECT count(*) AS n_rows, true AS is_accurate FROM (
+          SELECT file_name FROM energy WHERE is_energy
+          UNION ALL (SELECT file_name FROM energy WHERE NOT is_energy ORDER BY file_name LIMIT 2000))
+        WHERE cast('0x' || substr(md5(file_name), 1, 8) AS bigint) % 4 = 0""",
+    "ml_score": "SELECT file_name, true AS agrees FROM english UNION ALL SELECT 'all', true",
+    "ml_energy": "SELECT unnest(['outside', 'other', 'missing']) AS kind, 0::bigint AS n",
     "proj_rename": 'SELECT doc_id AS "number", source AS folder FROM documents',
     "proj_row_id": "SELECT count(*) AS n_rows, count(*) AS n_ids FROM documents",
     "src_archive_unpack": "SELECT file_name, raw_txt FROM patents",
     "src_archive_errors": "SELECT 'text-' || doc_id AS archive FROM documents",
+    "src_archive_files": "SELECT file_name, raw_txt FROM patents",
+    "src_archive_damage": """
+        SELECT doc_id, CAST([1, 1, 2, 2, 0, 3][doc_id % 6 + 1] AS bigint) AS n_members,
+          CAST(doc_id % 6 < 5 AS bigint) AS n_errors FROM documents""",
+    "src_unreadable_parts": "SELECT doc_id, NULL::bigint AS n_parts FROM documents UNION ALL SELECT NULL, 1",
     "sink_parquet_roundtrip": 'SELECT file_name, title, abstract, "year" FROM english',
-    "sink_bounded_files": "SELECT count(*) AS n_rows, true AS is_bounded FROM documents",
+    "sink_bounded_files": """
+        SELECT count(*) AS n_rows, 7::bigint AS largest, cast(ceil(count(*) / 7) AS bigint) AS n_files FROM documents""",
+    "sink_if_any": 'SELECT file_name, true AS "any", false AS "none" FROM english',
     "sink_partitioned_by_date": """
         SELECT file_name, title, abstract, "year", '20240131' AS ex_date FROM english""",
     "sink_wordcount_roundtrip": "SELECT word, n FROM counts",

@@ -1,6 +1,7 @@
 """Registered queries: every operator over the whole given tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,8 @@ from patentflow.storage import scratch_dir, stage
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-RUN_DAY = "2024-01-31"
+RUN_DAY, OTHER_DAY = "2024-01-31", "2024-02-01"
+FEW_NEGATIVES, FEW_ROWS = 20, 7
 
 
 def query(build: Query) -> Query:
@@ -41,6 +43,12 @@ def extract_abstract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("file_name", markup.abstract(F.col("raw_txt")).alias("abstract"))
 
 
+@query
+def extract_full_abstract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = corpus.patents(spark, sf_dir)
+    return docs.select("file_name", markup.full_abstract(F.col("raw_txt")).alias("abstract"))
+
+
 @query
 def extract_title(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus.patents(spark, sf_dir)
@@ -128,6 +136,16 @@ def str_list_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patents.from_stringified(old).select("file_name", *joined(*CODE_LISTS))
 
 
+@query
+def token_list_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token lists rendered as text with quote marks, the way older tables hold them, and parsed again."""
+    rows = _english(spark, sf_dir).select("file_name", text.tokens(wordcount.counted_text()).alias("tokens"))
+    quoted = F.transform("tokens", lambda word: F.concat(F.lit('"'), word, F.lit('"')))
+    rendered = rows.select("file_name", F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]")).alias("t"))
+    parsed = rendered.select("file_name", text.parse_token_list(F.col("t")).alias("tokens"))
+    return parsed.select("file_name", F.size("tokens").alias("n_tokens"), *joined("tokens"))
+
+
 # Words
 
 
@@ -204,7 +222,14 @@ def join_semi_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def join_anti_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = corpus.patents(spark, sf_dir).select("file_name")
-    return labeling.first_others(docs, corpus.known(spark, sf_dir))
+    return labeling.others(docs, corpus.known(spark, sf_dir))
+
+
+@query
+def first_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The choice of negatives, with a bound far below their number."""
+    names = stage(corpus.patents(spark, sf_dir).select("file_name"))
+    return labeling.first_others(names, corpus.known(spark, sf_dir), FEW_NEGATIVES)
 
 
 def _codes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,8 +253,14 @@ def split_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sample_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scan = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return labeling.shuffle_rows(scan.select("doc_id", "text"))
+    """The shuffled ids, and that their order has nothing to do with the one they came in."""
+    ids = stage(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id"))
+    placed = stage(labeling.shuffle_rows(ids).withColumn("place", F.monotonically_increasing_id()))
+    order = F.abs(F.corr(F.col("place").cast("double"), F.col("doc_id").cast("double"))) < 0.5
+    moved = placed.agg(order.alias("is_shuffled"))
+    return placed.select("doc_id", F.lit(None).cast("boolean").alias("is_shuffled")).unionByName(
+        moved.select(F.lit(None).cast("bigint").alias("doc_id"), "is_shuffled")
+    )
 
 
 # Dictionaries and features
@@ -268,28 +299,65 @@ def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return values.select("file_name", *columns)
 
 
+def _is_energy() -> Column:
+    """The rule behind the labels of the model queries: the first class is below 30."""
+    first = F.get("classes", F.lit(0))
+    return (first >= "01") & (first < "30")
+
+
 def _classifier(spark: SparkSession, sf_dir: str):
-    """Trained on documents whose first class is below 30, against the others."""
+    """Trained on documents that the rule calls energy, against the others."""
     codes = _codes(spark, sf_dir)
-    first = F.get("classes", F.lit(0))
-    energy = codes.where((first >= "01") & (first < "30"))
-    listed = energy.select(text.base_name(F.col("file_name")).alias("base_name"))
+    listed = codes.where(_is_energy()).select(text.base_name(F.col("file_name")).alias("base_name"))
     return fit_classifier(stage(labeling.label(codes, listed)))
 
 
 @query
 def ml_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classifier(spark, sf_dir)[1]
+    score = _classifier(spark, sf_dir)[1]
+    return score.select("n_rows", (F.col("accuracy") >= 0.9).alias("is_accurate"))
+
+
+def _saved(spark: SparkSession, classifier: model.Classifier) -> model.Classifier:
+    path = scratch_dir(spark)
+    classifier.save(path)
+    return model.Classifier.load(spark, path)
 
 
 @query
 def ml_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each patent with whether the fitted and the saved model agree on it, and in one more row, whether
+    at least 95 % of the predictions agree with the rule."""
+    fitted = _classifier(spark, sf_dir)[0]
+    rows = stage(patents.extract_patents(corpus.patents(spark, sf_dir)))
+    again = _saved(spark, fitted).predict(rows, "file_name").withColumnRenamed("prediction", "again")
+    both = stage(fitted.predict(rows, "file_name").join(again, "file_name"))
+    agreed = both.select("file_name", (F.col("prediction") == F.col("again")).alias("agrees"))
+    right = (F.col("prediction") == labeling.ENERGY) == _is_energy()
+    judged = both.join(rows, "file_name").agg((F.avg(right.cast("int")) >= 0.95).alias("agrees"))
+    return agreed.unionByName(judged.select(F.lit("all").alias("file_name"), "agrees"))
+
+
+def energy_patents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, save, load, and score all patents."""
-    path = scratch_dir(spark)
-    _classifier(spark, sf_dir)[0].save(path)
-    classifier = model.Classifier.load(spark, path)
-    rows = patents.extract_patents(corpus.patents(spark, sf_dir))
-    return classifier.energy_patents(rows)
+    classifier = _saved(spark, _classifier(spark, sf_dir)[0])
+    return classifier.energy_patents(patents.extract_patents(corpus.patents(spark, sf_dir)))
+
+
+@query
+def ml_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows that are no extracted patents or were predicted otherwise, and energy patents left out."""
+    classifier = _saved(spark, _classifier(spark, sf_dir)[0])
+    rows = stage(patents.extract_patents(corpus.patents(spark, sf_dir)))
+    columns = ["title", "abstract", "year"]
+    scored = stage(classifier.energy_patents(rows))
+    energy = classifier.predict(rows, *columns).where(F.col("prediction") == labeling.ENERGY)
+    outside = scored.join(rows.select(columns), columns, "left_anti")
+    other = scored.exceptAll(energy.select(columns))
+    missing = energy.select(columns).exceptAll(scored)
+    kinds = {"outside": outside, "other": other, "missing": missing}
+    counts = [df.agg(F.count("*").alias("n")).withColumn("kind", F.lit(kind)) for kind, df in kinds.items()]
+    return reduce(DataFrame.unionByName, counts)
 
 
 # Rows, sources and sinks
@@ -323,6 +391,40 @@ def src_archive_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.failures(archives.unpack_blobs(blobs)).select("archive")
 
 
+@query
+def src_archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives on disk, plain ones read in many blocks."""
+    folder = scratch_dir(spark)
+    corpus.write_archives(corpus.packed(corpus.patents(spark, sf_dir)), folder)
+    return archives.documents(archives.read_archives(spark, folder, block_bytes=100_000))
+
+
+@query
+def src_archive_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of archives on disk that are spoilt in five ways, and that each is reported."""
+    folder = scratch_dir(spark)
+    corpus.write_archives(corpus.damaged(corpus.documents(spark, sf_dir)), folder)
+    read = archives.read_archives(spark, folder, block_bytes=5_000)
+    doc_id = F.regexp_extract("archive", r"([0-9]+)\.tar$", 1).cast("bigint")
+    return read.groupBy(doc_id.alias("doc_id")).agg(
+        F.count("file_name").alias("n_members"), F.count("error").alias("n_errors")
+    )
+
+
+@query
+def src_unreadable_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table with a part that is no parquet: the rows of the others, and the number of parts left out."""
+    path = scratch_dir(spark)
+    docs = corpus.documents(spark, sf_dir).select("doc_id")
+    docs.write.parquet(path)
+    spark.range(1).coalesce(1).select(F.lit("no parquet")).write.mode("append").text(path)
+    rows = tables.read_parts(spark, path, docs.schema)
+    left_out = tables.unreadable_parts(spark, path, docs.schema).agg(F.count("*").alias("n_parts"))
+    return rows.withColumn("n_parts", F.lit(None).cast("bigint")).unionByName(
+        left_out.select(F.lit(None).cast("bigint").alias("doc_id"), "n_parts")
+    )
+
+
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = patents.extract_patents(corpus.patents(spark, sf_dir))
     return rows.select("file_name", "title", "abstract", "year")
@@ -337,25 +439,35 @@ def sink_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sink_bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in files of at most 3000 rows; the largest file is part of the result."""
+    """All documents, sorted into one range a task, in files of a few rows; no file is larger or much smaller."""
     path = scratch_dir(spark)
-    sinks.write_table(corpus.documents(spark, sf_dir).select("doc_id"), path, sinks.MAX_ROWS)
+    ids = corpus.documents(spark, sf_dir).select("doc_id").repartitionByRange(1, "doc_id")
+    sinks.write_table(ids, path, FEW_ROWS)
     per_file = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).count()
     return per_file.agg(
-        F.sum("count").alias("n_rows"), (F.max("count") <= sinks.MAX_ROWS).alias("is_bounded")
+        F.sum("count").alias("n_rows"), F.max("count").alias("largest"), F.count("*").alias("n_files")
     )
 
 
 @query
 def sink_partitioned_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written twice for one date: the second run replaces the first."""
+    """Written twice for one date, and for another that a rerun without rows clears again."""
     path = scratch_dir(spark)
     rows = _rows(spark, sf_dir)
-    sinks.write_dated(rows, path, RUN_DAY)
-    sinks.write_dated(rows, path, RUN_DAY)
+    for day, written in ((RUN_DAY, rows), (OTHER_DAY, rows), (RUN_DAY, rows), (OTHER_DAY, rows.limit(0))):
+        sinks.write_dated(written, path, day)
     return sinks.read_dated(spark, path)
 
 
+@query
+def sink_if_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows written because there are some; nothing is written where there are none."""
+    path, none = scratch_dir(spark), scratch_dir(spark)
+    rows = _rows(spark, sf_dir).select("file_name")
+    wrote = sinks.write_if_any(rows, path), sinks.write_if_any(rows.where("file_name IS NULL"), none)
+    return spark.read.parquet(path).select("file_name", F.lit(wrote[0]).alias("any"), F.lit(wrote[1]).alias("none"))
+
+
 @query
 def sink_wordcount_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)

@@ -12,9 +12,10 @@ from test_archives import write_tar
 from patentflow import sinks
 from patentflow.functions import text
 from patentflow.operators.model import Classifier
-from patentflow.operators.patents import extract_codes, extract_patents
+from patentflow.operators.patents import OLDER_NAMES, extract_codes, extract_patents
 from patentflow.operators.wordcount import count_words, top_words
 from patentflow.plans import corpus, jobs
+from patentflow.schemas import CODE_LISTS
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -46,13 +47,15 @@ def test_extract(spark, place):
     best = rows(top_words(count_words(expected)))
     assert rows(spark.read.parquet(f"{root}/out/top_words")) == best
     assert rows(spark.read.json(f"{root}/out/top_words_json").select("word", "n")) == best
-    assert not os.path.exists(f"{root}/out/archive_errors")
+    assert spark.read.parquet(f"{root}/out/archive_errors").count() == 0
+    assert not os.path.exists(f"{root}/out/staged")
 
 
 def test_extract_names_damaged_archives(spark, tmp_path):
     write_tar(tmp_path / "good.tar", [("EP/a.xml", "<doc/>")])
     (tmp_path / "bad.tar").write_bytes(b"junk")
-    assert jobs.extract_job(spark, str(tmp_path), f"{tmp_path}/out", "*.tar") == 1
+    for _ in range(2):
+        assert jobs.extract_job(spark, str(tmp_path), f"{tmp_path}/out", "*.tar") == 1
     errors = spark.read.parquet(f"{tmp_path}/out/archive_errors").collect()
     assert [row.archive.rsplit("/")[-1] for row in errors] == ["bad.tar"]
 
@@ -94,6 +97,7 @@ def test_train_and_score(spark, place):
     with pytest.raises(Exception):
         jobs.score_job(spark, f"{root}/patents", f"{root}/model", f"{root}/energy", "2024-02-01")
     jobs.score_job(spark, f"{root}/patents", f"{root}/model", f"{root}/energy", "2024-02-02", True)
+    assert [r.part.rsplit("/")[-1] for r in spark.read.parquet(f"{root}/energy_unreadable").collect()] == ["part-bad.parquet"]
     tolerant = sinks.read_dated(spark, f"{root}/energy").where("ex_date = '20240202'")
     scored = sinks.read_dated(spark, f"{root}/energy").where("ex_date = '20240131'")
     assert rows(tolerant.drop("ex_date")) == rows(scored.drop("ex_date"))
@@ -102,6 +106,30 @@ def test_train_and_score(spark, place):
     assert rows(scored.select(columns)) == rows(wanted.select(columns))
 
 
+def test_labels_report_damage_and_older_tables_are_scored(spark, place, tmp_path):
+    root, docs, _ = place
+    (tmp_path / "in").mkdir()
+    write_tar(tmp_path / "in" / "good.tar", rows(docs)[:120])
+    (tmp_path / "in" / "bad.tar").write_bytes(b"junk")
+    places = f"{tmp_path}/in", f"{root}/list.txt", f"{tmp_path}/training"
+    assert jobs.training_job(spark, *places, max_negatives=None) == 1
+    assert spark.read.parquet(f"{tmp_path}/training_errors/archive_errors").count() == 1
+    training = spark.read.parquet(f"{tmp_path}/training")
+    assert training.count() == 120
+
+    def older(rows):
+        text_of = {c: F.concat(F.lit("["), F.array_join(c, ", "), F.lit("]")) for c in CODE_LISTS}
+        return rows.withColumns(text_of).withColumnsRenamed({new: old for old, new in OLDER_NAMES.items()})
+
+    older(training).write.parquet(f"{tmp_path}/older_training")
+    jobs.fit_job(spark, f"{tmp_path}/older_training", f"{tmp_path}/model", trees=5)
+    patents = extract_patents(docs)
+    for name, table in (("new", patents), ("old", older(patents))):
+        table.write.parquet(f"{tmp_path}/{name}")
+        jobs.score_job(spark, f"{tmp_path}/{name}", f"{tmp_path}/model", f"{tmp_path}/{name}_out", "2024-01-31")
+    assert rows(sinks.read_dated(spark, f"{tmp_path}/old_out")) == rows(sinks.read_dated(spark, f"{tmp_path}/new_out"))
+
+
 def test_saved_model_predicts_the_same(spark, place, tmp_path):
     _, docs, names = place
     codes = extract_codes(docs).withColumn("target", (~F.col("file_name").isin(names)).cast("int"))
