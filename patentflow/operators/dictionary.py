@@ -5,9 +5,11 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from patentflow.schemas import DICTIONARIES, TRAIN_COLS, features_of, lists_of
+from patentflow.schemas import CODE_SPECS, DICTIONARIES, TRAIN_COLS, features_of, lists_of
 
 UNSEEN = -1
+PADS = sorted({spec.pad for spec in CODE_SPECS})
+SALTS = 64
 
 
 def _values(df: DataFrame) -> DataFrame:
@@ -43,13 +45,25 @@ def dictionary_of(dictionaries: DataFrame, name: str) -> DataFrame:
     return dictionaries.where(F.col("dictionary") == name).select("value", "id")
 
 
-def encode_columns(df: DataFrame, dictionary: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Replace the values of scalar columns by their ids, values without an id by -1."""
+def encode_columns(
+    df: DataFrame, dictionary: DataFrame, columns: Iterable[str], salts: int = SALTS
+) -> DataFrame:
+    """Replace the values of scalar columns by their ids, values without an id by -1.
+
+    Most rows may hold a pad. Where the join shuffles, pads would all meet in one task, so they get a
+    salt from a hash of their row, and the dictionary has a copy of them for each salt.
+    """
+    is_pad = F.col("value").isin(PADS)
+    copies = F.when(is_pad, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted = dictionary.select("value", "id", F.explode(copies).alias("salt"))
+    row_hash = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+    df = df.withColumn("row_salt", row_hash)
     for name in columns:
-        ids = dictionary.select(F.col("value").alias(name), F.col("id").alias(f"{name}_id"))
+        ids = salted.select(F.col("value").alias(name), "salt", F.col("id").alias(f"{name}_id"))
+        keyed = df.withColumn("salt", F.when(F.col(name).isin(PADS), F.col("row_salt")).otherwise(0))
         found = F.coalesce(F.col(f"{name}_id"), F.lit(UNSEEN))
-        df = df.join(ids, name, "left").withColumn(name, found).drop(f"{name}_id")
-    return df
+        df = keyed.join(ids, [name, "salt"], "left").withColumn(name, found).drop(f"{name}_id", "salt")
+    return df.drop("row_salt")
 
 
 def encode_features(features: DataFrame, dictionaries: DataFrame) -> DataFrame:

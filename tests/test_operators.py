@@ -192,6 +192,24 @@ def test_encoding_beyond_the_broadcast_threshold(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_padded_rows_are_spread(spark):
+    """Nine in ten rows hold the pad; without a broadcast they still meet in no one task."""
+    pad_or_code = F.when(F.col("id") % 10 < 9, "0A").otherwise(F.concat(F.lit("c"), F.col("id")))
+    df = spark.range(4000).select("id", pad_or_code.alias("s_0"))
+    dictionary = spark.createDataFrame([("0A", 0), ("c9", 1)], "value string, id int")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = encode_columns(df, dictionary, ["s_0"])
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert "SortMergeJoin" in plan(found) and max(sizes) < 2 * 4000 / 4
+        assert found.where("s_0 = 0").count() == 3600 and found.where("s_0 = 1").count() == 1
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_row_ids_are_unique(spark):
     ids = values(patents.with_row_id(spark.range(100).repartition(5)).select("row_id"))
     assert len(set(ids)) == 100
