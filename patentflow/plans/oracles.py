@@ -177,8 +177,7 @@ _BODIES = {
           CAST(doc_id % 6 < 5 AS bigint) AS n_errors FROM documents""",
     "src_unreadable_parts": "SELECT doc_id, NULL::bigint AS n_parts FROM documents UNION ALL SELECT NULL, 1",
     "sink_parquet_roundtrip": 'SELECT file_name, title, abstract, "year" FROM english',
-    "sink_bounded_files": """
-        SELECT count(*) AS n_rows, 7::bigint AS largest, cast(ceil(count(*) / 7) AS bigint) AS n_files FROM documents""",
+    "sink_bounded_files": "SELECT count(*) AS n_rows, 7::bigint AS largest, true AS is_split FROM documents",
     "sink_if_any": 'SELECT file_name, true AS "any", false AS "none" FROM english',
     "sink_partitioned_by_date": """
         SELECT file_name, title, abstract, "year", '20240131' AS ex_date FROM english""",
