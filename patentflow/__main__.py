@@ -52,7 +52,7 @@ def main() -> None:
     elif given.command == "top":
         jobs.write_top_words(spark, given.out, *given.counts)
     elif given.command == "label":
-        jobs.training_job(
+        damaged = jobs.training_job(
             spark,
             given.archives,
             given.positives,
@@ -61,6 +61,7 @@ def main() -> None:
             given.max_negatives,
             given.documents,
         )
+        print({"damaged": damaged})
     elif given.command == "fit":
         print({"accuracy": jobs.fit_job(spark, given.training, given.model)})
     else:
