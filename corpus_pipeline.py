@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from patentflow.llm import exact_dedup, mixing, simhash_dedup, toxicity
-from patentflow.llm.queries import bpe_digests, vocabulary
+from patentflow.llm.queries import bounded_batches, bpe_digests, vocabulary
 from patentflow.storage import stage
 
 # No SQL for fitting a classifier, fingerprints or tokens: tests hold the stages against brute force.
@@ -12,17 +12,20 @@ ORACLE_SQL = None
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on all labels, does not reject."""
+    bounded_batches(spark)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.keep_clean(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of those that are equal but for white space."""
+    bounded_batches(spark)
     return exact_dedup.deduplicate(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of close fingerprints."""
+    bounded_batches(spark)
     return simhash_dedup.one_of_each(docs)
 
 
@@ -33,6 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number of tokens and digests of the ids and of the text decoded from them, for each row of the mix."""
+    bounded_batches(spark)
     return bpe_digests(docs, vocabulary())
 
 

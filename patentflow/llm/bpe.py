@@ -3,9 +3,10 @@
 import codecs
 import heapq
 import json
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +18,13 @@ from pyspark.sql import functions as F
 # starts like one can match there.
 PIECES = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 GROUP = 4096
-CACHED_PIECES, CACHED_BYTES = 1 << 19, 64
+CACHED_PIECES, CACHED_CHARS = 1 << 18, 64
 BATCH_TOKENS = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
-    """The letters that stand for bytes in vocabulary files: printable bytes are themselves, the others follow from 256 on."""
+    """The letters that stand for bytes in vocabulary files: printable bytes are themselves, the others
+    follow from 256 on."""
     printable = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in set(printable)]
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
@@ -30,7 +32,8 @@ def byte_letters() -> dict[str, int]:
 
 @dataclass
 class Vocabulary:
-    """Bytes of each id, ids of single bytes, merges as (left, right, merged) ids by rank, special strings."""
+    """Bytes of each id, ids of single bytes, merges as (left, right, merged) ids by rank, special
+    strings."""
 
     token_bytes: list[bytes]
     byte_ids: list[int]
@@ -60,11 +63,12 @@ class Vocabulary:
 def sufficient_lookahead(vocabulary: Vocabulary) -> int:
     """Bytes behind a token boundary that can still move it, from the merge list alone.
 
-    Let reach(t) be how many bytes behind token t may decide whether t forms. A merge of a and b needs that
-    b forms, that nothing took b away before (a merge of b with some z, of smaller rank, that itself forms: the length
-    of z plus its reach), and the same for a, whose end is the length of b earlier. Parts have smaller ranks than what
-    they form, so one pass over the merges in order of rank finds all reaches. A boundary behind t is
-    final once all merges of t with something behind it are decided, whatever their rank.
+    Let reach(t) be how many bytes behind token t may decide whether t forms. A merge of a and b needs
+    that b forms, that nothing took b away before (a merge of b with some z, of smaller rank, that itself
+    forms: the length of z plus its reach), and the same for a, whose end is the length of b earlier.
+    Parts have smaller ranks than what they form, so one pass over the merges in order of rank finds all
+    reaches. A boundary behind t is final once all merges of t with something behind it are decided,
+    whatever their rank.
     """
     length = [len(token) for token in vocabulary.token_bytes]
     reach, taken = [0] * len(length), [0] * len(length)
@@ -79,8 +83,8 @@ class Encoder:
     """Text to ids, in memory that does not grow with the text.
 
     Pieces are read from the text one by one. Long pieces go through a buffer: what lies further than the
-    lookahead before its end is final and leaves it, so the buffer holds a chunk and the lookahead. Short pieces are
-    remembered, up to a bound.
+    lookahead before its end is final and leaves it, so the buffer holds a chunk and the lookahead. Short
+    pieces are remembered, up to a bound.
     """
 
     def __init__(self, vocabulary: Vocabulary, chunk: int = 1024):
@@ -153,28 +157,32 @@ class Encoder:
                 yield final
         yield self.merged(data[start:])
 
-    def piece(self, text: str) -> tuple[int, ...]:
+    def piece(self, text: str) -> bytes:
+        """Ids of a piece as 32-bit numbers."""
         data = text.encode("utf-8", "surrogatepass")
         if len(data) <= self.chunk + self.lookahead:
-            return tuple(self.merged(data))
-        return tuple(chain.from_iterable(self.stream(data)))
+            return array("i", self.merged(data)).tobytes()
+        return b"".join(array("i", final).tobytes() for final in self.stream(data))
 
-    def encode(self, text: str | None) -> Iterator[Iterable[int]]:
-        """Groups of ids of a text; strings of special tokens become their ids."""
+    def encode(self, text: str | None) -> Iterator[bytes]:
+        """Groups of ids of a text, as 32-bit numbers; strings of special tokens become their ids."""
         text, at = text or "", 0
         if self.split is not None:
             for match in self.split.finditer(text):
                 yield from self._plain(text, at, match.start())
-                yield [self.special[match.group()]]
+                yield array("i", [self.special[match.group()]]).tobytes()
                 at = match.end()
         yield from self._plain(text, at, len(text))
 
-    def _plain(self, text: str, start: int, end: int) -> Iterator[Iterable[int]]:
+    def ids(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(b"".join(self.encode(text)), dtype=np.int32)
+
+    def _plain(self, text: str, start: int, end: int) -> Iterator[bytes]:
         # Special strings bound what a piece may look ahead to, so the part is cut out before it is searched.
         part = text if (start, end) == (0, len(text)) else text[start:end]
         found = self.pieces.finditer(part)
         while group := [match.group() for match in islice(found, GROUP)]:
-            yield chain.from_iterable(map(self.cache.__getitem__, group))
+            yield b"".join(map(self.cache.__getitem__, group))
 
 
 class _Pieces(dict):
@@ -183,9 +191,9 @@ class _Pieces(dict):
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
 
-    def __missing__(self, text: str) -> tuple[int, ...]:
+    def __missing__(self, text: str) -> bytes:
         ids = self.encoder.piece(text)
-        if len(text) <= CACHED_BYTES:
+        if len(text) <= CACHED_CHARS:
             if len(self) >= CACHED_PIECES:
                 self.clear()
             self[text] = ids
@@ -193,7 +201,8 @@ class _Pieces(dict):
 
 
 def decode(token_bytes: list[bytes], ids: list[int]) -> str:
-    """Text of ids: bytes enter a UTF-8 decoder group by group, which holds at most an unfinished character."""
+    """Text of ids: bytes enter a UTF-8 decoder group by group, which holds at most an unfinished
+    character."""
     decoder = codecs.getincrementaldecoder("utf-8")(errors="replace")
     parts = []
     for at in range(0, len(ids), GROUP):
@@ -202,24 +211,31 @@ def decode(token_bytes: list[bytes], ids: list[int]) -> str:
     return "".join(parts)
 
 
-def encode_documents(docs: DataFrame, vocabulary: Vocabulary, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The `keep` columns and `ids`, an array of token numbers, of every row.
+def encode_documents(
+    docs: DataFrame, vocabulary: Vocabulary, keep: list[str], text_col: str = "text", decoded: bool = False
+) -> DataFrame:
+    """The `keep` columns and `ids`, an array of token numbers, of every row; with `decoded`, their text too.
 
-    Whole texts are encoded; NULL and empty texts have no ids. Repeated rows stay repeated, no other column matters, an empty table
-    gives no rows.
+    Whole texts are encoded; NULL and empty texts have no ids. Repeated rows stay repeated, no other
+    column matters, an empty table gives no rows. Decoding in the same pass reads nothing but the ids.
     """
     shipped = SparkSession.active().sparkContext.broadcast(vars(vocabulary))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Vocabulary(**shipped.value))
+        encoder, token_bytes = Encoder(Vocabulary(**shipped.value)), shipped.value["token_bytes"]
 
-        def ids_of(text: str | None) -> np.ndarray:
-            return np.fromiter(chain.from_iterable(encoder.encode(text)), dtype=np.int32)
+        def columns(found: list[np.ndarray]) -> dict[str, pa.Array]:
+            both = {"ids": _id_lists(found)}
+            if decoded:
+                both["decoded"] = pa.array([decode(token_bytes, ids.tolist()) for ids in found], pa.string())
+            return both
 
-        yield from _mapped(batches, "text", ids_of, len, _id_lists, "ids")
+        yield from _mapped(batches, "text", encoder.ids, columns)
 
     rows = docs.select(F.struct(*keep).alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, _schema(rows, "ids array<int>")).select("row.*", "ids")
+    results = ["ids", "decoded"] if decoded else ["ids"]
+    schema = _schema(rows, "ids array<int>, decoded string" if decoded else "ids array<int>")
+    return rows.mapInArrow(run, schema).select("row.*", *results)
 
 
 def decode_documents(encoded: DataFrame, vocabulary: Vocabulary, keep: list[str], ids_col: str = "ids") -> DataFrame:
@@ -232,7 +248,7 @@ def decode_documents(encoded: DataFrame, vocabulary: Vocabulary, keep: list[str]
         def text_of(ids: list[int] | None) -> str:
             return decode(token_bytes, ids or [])
 
-        yield from _mapped(batches, "ids", text_of, len, lambda texts: pa.array(texts, pa.string()), "decoded")
+        yield from _mapped(batches, "ids", text_of, lambda texts: {"decoded": pa.array(texts, pa.string())})
 
     rows = encoded.select(F.struct(*keep).alias("row"), F.col(ids_col).alias("ids"))
     return rows.mapInArrow(run, _schema(rows, "decoded string")).select("row.*", "decoded")
@@ -247,14 +263,15 @@ def _id_lists(found: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
 
 
-def _mapped(batches, name: str, function: Callable, size: Callable, to_array: Callable, result: str):
-    """Batches with a new column, cut so that none has many more than a bounded number of elements."""
+def _mapped(batches, name: str, function: Callable, columns: Callable) -> Iterator[pa.RecordBatch]:
+    """Batches with new columns made of what `function` finds, none with many more elements than a bound."""
     for batch in batches:
         values, found, held, start = batch.column(name), [], 0, 0
         for at in range(batch.num_rows):
             found.append(function(values[at].as_py()))
-            held += size(found[-1])
+            held += len(found[-1])
             if held >= BATCH_TOKENS or at == batch.num_rows - 1:
                 rows = batch.column("row").slice(start, len(found))
-                yield pa.RecordBatch.from_arrays([rows, to_array(found)], names=["row", result])
+                made = columns(found)
+                yield pa.RecordBatch.from_arrays([rows, *made.values()], names=["row", *made])
                 found, held, start = [], 0, at + 1

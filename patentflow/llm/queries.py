@@ -29,12 +29,18 @@ URL_RULES = [
     Rule(BLOCK, "net", "/es/"),
     Rule(BLOCK, "net", "/fr/"),
 ]
-SHARD_BYTES = 1 << 20
+SHARD_BYTES, BATCH_ROWS = 1 << 20, 1000
 # The conversation that the formatter has to survive: a text full of what templates use.
 CONTROL_CONVERSATION, CONTROL_TEXT = -7, "\\### Assistant: </turn> ok"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts go to Python in small batches: a row may be long, and the default is 10,000 rows at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -111,16 +117,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame, tokens: bpe.Vocabulary) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row, from its ids and the text they decode to."""
-    encoded = bpe.encode_documents(docs, tokens, ["doc_id"])
-    digested = encoded.select(
+    encoded = bpe.encode_documents(docs, tokens, ["doc_id"], decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
-        "ids",
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
-    decoded = bpe.decode_documents(digested, tokens, ["doc_id", "n_tokens", "ids_sha256"])
-    digest = F.sha2(F.col("decoded").cast("binary"), 256)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", digest.alias("decoded_sha256"))
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -325,7 +325,7 @@ def odd_texts(tokens):
 def test_tokens_are_those_of_the_library(tokens, library, chunk):
     encoder = bpe.Encoder(tokens, chunk)
     for text in odd_texts(tokens):
-        ids = list(chain.from_iterable(encoder.encode(text)))
+        ids = encoder.ids(text).tolist()
         assert ids == library.encode(text or "", add_special_tokens=False).ids
         assert bpe.decode(tokens.token_bytes, ids) == library.decode(ids, skip_special_tokens=False) == (text or "")
 
@@ -348,4 +348,6 @@ def test_documents_round_trip(spark, tokens):
     encoded = bpe.encode_documents(docs, tokens, ["doc_id"])
     found = {r.doc_id: r.decoded for r in bpe.decode_documents(encoded, tokens, ["doc_id"]).collect()}
     assert found == {i: text or "" for i, text in enumerate(texts)}
+    both = bpe.encode_documents(docs, tokens, ["doc_id"], decoded=True)
+    assert {r.doc_id: r.decoded for r in both.collect()} == found
     assert bpe.encode_documents(docs.limit(0), tokens, ["doc_id"]).collect() == []
