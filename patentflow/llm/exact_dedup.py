@@ -71,8 +71,8 @@ def mark_duplicates(docs: DataFrame, keep: list[str] | None = None, id_col: str
 def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Mark the runs of equal neighbours of one sorted range.
 
-    Rows of the open run wait without their texts until its length is known. `run` counts on; `border` tells whether a run
-    touches the start ("first"), the end ("last") or both ends ("both") of the range.
+    Rows of the open run wait without their texts until its length is known. `run` counts on; `border`
+    tells whether a run touches the start ("first"), the end ("last") or both ends ("both") of the range.
     """
     part, run, size = TaskContext.get().partitionId(), 0, 0
     waiting: list[pa.RecordBatch] = []

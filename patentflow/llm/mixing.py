@@ -84,9 +84,9 @@ def plan(
     """One stored row a source: source, source_size, target, whole, last_draw, last_id.
 
     Each document of a source is taken `whole` times, and once more if its (draw, id) is not above
-    (last_draw, last_id): that is a seeded sample of the documents whose words come nearest to the fraction that is missing.
-    The running sum of words that finds the cut is taken over 4096 slices of the draws; only the slice
-    that holds the cut is sorted, so a source may hold any share of the rows.
+    (last_draw, last_id): that is a seeded sample of the documents whose words come nearest to the
+    fraction that is missing. The running sum of words that finds the cut is taken over 4096 slices of the
+    draws; only the slice that holds the cut is sorted, so a source may hold any share of the rows.
     """
     sizes = measured.groupBy("source").agg(F.sum("size").alias("source_size"))
     filled = water_fill(stage(weighted(sizes, weights)), total, max_epochs)
@@ -142,8 +142,8 @@ def mix_amounts(
 ) -> DataFrame:
     """id, size, source_size, target, taken of every row.
 
-    Size is the number of words, 0 for NULL. NULL is a source of its own. Sources without words get nothing. Rows
-    with the same id are taken alike. An empty table gives no rows.
+    Size is the number of words, 0 for NULL. NULL is a source of its own. Sources without words get
+    nothing. Rows with the same id are taken alike. An empty table gives no rows.
     """
     measured = measure(docs, seed, id_col, text_col, source_col)
     sources = plan(measured, weights, max_epochs).alias("b")

@@ -27,15 +27,16 @@ def assign_shards(
     """id, bytes, shard, depth, shard_bytes, shard_rows, oversized of every row.
 
     The directory starts with one bucket. A bucket of more than `shard_bytes` splits on the next bit of
-    the hash of `key`, and no other does; a shard's name is the bits that lead to it, so any row finds its shard by its hash
-    alone and a table that grows only splits some of its shards. Rows of one key share all 60 bits: beyond them the bits of
-    the hash of id and text follow, then those of a number given to each row, so a key may hold any share of the rows. What is left
-    `oversized` is a single row above the limit. NULL and empty texts have no bytes, NULL keys are one
-    key. An empty table gives no rows.
+    the hash of `key`, and no other does; a shard's name is the bits that lead to it, so any row finds its
+    shard by its hash alone and a table that grows only splits some of its shards. Rows of one key share
+    all 60 bits: beyond them the bits of the hash of id and text follow, then those of a number given to
+    each row, so a key may hold any share of the rows. What is left `oversized` is a single row above the
+    limit. NULL and empty texts have no bytes, NULL keys are one key. An empty table gives no rows.
 
     Bytes are first summed per cell of as many bits as fill a shard on average, plus `step_bits`; which
-    prefixes split is read off those sums. Only cells that are too large even then go on, with their rows alone,
-    `step_bits` at a time. Rows are narrow throughout, and nothing but the total comes to the driver.
+    prefixes split is read off those sums. Only cells that are too large even then go on, with their rows
+    alone, `step_bits` at a time. Rows are narrow throughout, and nothing but the total comes to the
+    driver.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = stage(

@@ -77,7 +77,8 @@ def error_patterns() -> np.ndarray:
 
 
 def nearby_codewords(words: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Indices of the code words that each word and its 23 neighbours decode to: one or six different ones.
+    """Indices of the code words that each word and its 23 neighbours decode to: one or six different
+    ones.
 
     Words up to two bits apart share one: a word between them is a neighbour of both.
     """
@@ -89,8 +90,8 @@ def nearby_codewords(words: np.ndarray, table: np.ndarray) -> np.ndarray:
 def fuzzy_keys(prints: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) such that fingerprints with at most two differing bits share a key.
 
-    Two errors leave one of three segments untouched, and at most two in the following one. So a key is the number of
-    a segment, its exact bits, and the index of a code word near the following segment.
+    Two errors leave one of three segments untouched, and at most two in the following one. So a key is
+    the number of a segment, its exact bits, and the index of a code word near the following segment.
     """
     parts = [(prints >> np.uint64(low) & np.uint64((1 << bits) - 1)).astype(np.int64) for low, bits in SEGMENTS]
     rows, keys = [], []
@@ -131,10 +132,12 @@ def _compare(cell: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def near_prints(rows: DataFrame) -> DataFrame:
-    """(print, component) of each distinct fingerprint in `rows(id, print)`, which should be a stored table.
+    """(print, component) of each distinct fingerprint in `rows(id, print)`, which should be a stored
+    table.
 
-    The component is the smallest id of all rows whose fingerprints are connected by steps of at most two bits.
-    Equal fingerprints are one class and are matched once. Rows with a NULL id have a component only if others share it.
+    The component is the smallest id of all rows whose fingerprints are connected by steps of at most two
+    bits. Equal fingerprints are one class and are matched once. Rows with a NULL id have a component only
+    if others share it.
     """
     classes = stage(rows.groupBy("print").agg(F.min("id").cast("bigint").alias("rep")))
     known = classes.where("rep IS NOT NULL")
@@ -149,8 +152,9 @@ def near_prints(rows: DataFrame) -> DataFrame:
 def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, fingerprint (16 hex digits), component_id of every row.
 
-    NULL and empty texts have fingerprint zero and are linked like any other. Repeated rows are repeated in the result. A
-    NULL id takes part in no link, but gets the component of its fingerprint. An empty table gives no rows.
+    NULL and empty texts have fingerprint zero and are linked like any other. Repeated rows are repeated
+    in the result. A NULL id takes part in no link, but gets the component of its fingerprint. An empty
+    table gives no rows.
     """
     prints = stage(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("print")))
     joined = prints.join(near_prints(prints), "print")
@@ -161,7 +165,8 @@ def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of near-duplicates, with the columns it came with: the row with the smallest id.
+    """One row of each group of near-duplicates, with the columns it came with: the row with the smallest
+    id.
 
     Of several rows with that id one stays. Rows with a NULL id all stay unless they share a fingerprint.
     """

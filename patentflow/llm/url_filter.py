@@ -111,10 +111,11 @@ def url_verdicts(
 ) -> DataFrame:
     """id, host, path, rule, verdict of each row of `pages(id, url, html)`.
 
-    The longest fitting rule decides. A page that no rule fits is blocked if redirects or canonical
-    links connect it with an address that a rule blocks, and else allowed; so an explicit allow always
-    holds for its own pages. `redirects(address, alias)` adds redirects known from a crawl, as urls. NULL urls, urls
-    without "://" and NULL html are allowed rows without links. Repeated rows and ids are each judged; an empty table gives no rows.
+    The longest fitting rule decides. A page that no rule fits is blocked if redirects or canonical links
+    connect it with an address that a rule blocks, and else allowed; so an explicit allow always holds for
+    its own pages. `redirects(address, alias)` adds redirects known from a crawl, as urls. NULL urls, urls
+    without "://" and NULL html are allowed rows without links. Repeated rows and ids are each judged; an
+    empty table gives no rows.
     """
     links = page_links(pages)
     if redirects is not None:

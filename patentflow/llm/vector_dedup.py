@@ -147,15 +147,16 @@ def near_vectors(
 ) -> DataFrame:
     """id, n_links, component_id, kept of every row.
 
-    Two vectors of equal dimension link if they meet in a bucket and their cosine in double precision is at least
-    `cosine`. With six tables and four probes, pairs at a cosine of 0.9 meet with a probability of 0.99, closer
-    ones with more; no pair below the threshold links. Equal vectors are one class, which is hashed once and links all its rows.
+    Two vectors of equal dimension link if they meet in a bucket and their cosine in double precision is
+    at least `cosine`. With six tables and four probes, pairs at a cosine of 0.9 meet with a probability
+    of 0.99, closer ones with more; no pair below the threshold links. Equal vectors are one class, which
+    is hashed once and links all its rows.
 
-    Vectors that are NULL, empty, zero or have NULL or non-finite components, and rows with a NULL id, link with nothing and
-    are kept. A repeated row counts as another vector. An empty table gives no rows.
+    Vectors that are NULL, empty, zero or have NULL or non-finite components, and rows with a NULL id,
+    link with nothing and are kept. A repeated row counts as another vector. An empty table gives no rows.
 
-    Every pair that meets several times is counted in the first of its buckets only, so pairs never leave the
-    cell that compares them: it returns sums and the edges of a forest, at most one a row.
+    Every pair that meets several times is counted in the first of its buckets only, so pairs never leave
+    the cell that compares them: it returns sums and the edges of a forest, at most one a row.
     """
     slim = rows.select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"))
     usable = F.col("id").isNotNull() & is_comparable(F.col("embedding"))
