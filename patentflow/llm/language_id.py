@@ -61,7 +61,8 @@ class LanguageModel:
     def decode(self, margins: np.ndarray) -> tuple[int, float, bool]:
         """Nearest language, its share of the probability, and whether the next is close.
 
-        The distance to a code word is the logistic loss of each bit against it, weighed by the trust in the bit.
+        The distance to a code word is the logistic loss of each bit against it, weighed by the trust in
+        the bit.
         """
         loss = np.logaddexp(0, -self.words * margins) * self.trust
         near = np.exp(-self.words.shape[1] * (loss.sum(axis=1) - loss.sum(axis=1).min()))
@@ -97,8 +98,8 @@ def fit(
 ) -> LanguageModel:
     """Fit on at most `per_language` rows of each language, those with the smallest md5 of their ids.
 
-    Each bit's classifier is fitted by a task of its own on the n-gram shares of the sample. Rows with a NULL language
-    or text are not used.
+    Each bit's classifier is fitted by a task of its own on the n-gram shares of the sample. Rows with a
+    NULL language or text are not used.
     """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     chosen = sampled(known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")), "id", "lang", per_language)
@@ -143,7 +144,8 @@ def _trainer(languages: list[str], words: np.ndarray):
         rows_of = np.maximum(np.bincount(lang, minlength=len(languages)), 1)
         share = 1 / rows_of[lang]
         share /= share.sum()
-        weight, intercept = fit_logistic(at, values, lengths, y, share, 1 << BITS, 0.0, L2, STEPS)
+        plain = np.ones(1 << BITS)
+        weight, intercept = fit_logistic([(at, values, lengths)], y, share, plain, 0.0, L2, STEPS)
         starts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(int)
         right = (intercept + np.add.reduceat(weight[at] * values, starts) > 0) == (y > 0)
         hits = np.bincount(lang, weights=right, minlength=len(languages)) / rows_of
@@ -155,8 +157,9 @@ def _trainer(languages: list[str], words: np.ndarray):
 def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, lang_pred, score, ambiguous of every row.
 
-    NULL texts and texts without any letter are "und" with score 0, and so is every text if the model knows no
-    language. Nothing but the text is looked at. Equal texts get equal answers; an empty table gives no rows.
+    NULL texts and texts without any letter are "und" with score 0, and so is every text if the model
+    knows no language. Nothing but the text is looked at. Equal texts get equal answers; an empty table
+    gives no rows.
     """
     text = F.col(text_col)
     has_letter = F.coalesce(F.regexp_like(text, F.lit(r"\p{L}")), F.lit(False))

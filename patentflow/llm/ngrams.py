@@ -30,9 +30,10 @@ def hashed(text: str | None, sizes: tuple[int, ...], bits: int) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, dtype=np.uint32)
 
 
-def distinct(buckets: np.ndarray, flags: np.ndarray) -> np.ndarray:
-    """The bucket numbers that occur, in order. `flags` is scratch: all false before and after."""
-    flags[buckets] = True
-    found = np.flatnonzero(flags)
-    flags[found] = False
-    return found
+def occurring(buckets: np.ndarray, bits: int, times: int) -> np.ndarray:
+    """Numbers of the buckets that occur at least once, twice, ... up to `times` times.
+
+    A bucket that occurs at least k times is numbered by itself plus (k - 1) * 2 ** bits as well.
+    """
+    found, counts = np.unique(buckets, return_counts=True)
+    return np.concatenate([found[counts >= k].astype(np.int64) + ((k - 1) << bits) for k in range(1, times + 1)])

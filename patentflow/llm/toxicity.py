@@ -1,27 +1,36 @@
 """Toxicity of texts: a linear classifier on character n-grams scaled by naive Bayes log-count ratios."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patentflow.llm.linear import fit_logistic
-from patentflow.llm.ngrams import distinct, hashed
+from patentflow.llm.ngrams import hashed, occurring
 from patentflow.llm.samples import sampled
 
-SIZES, BITS = (3, 4, 5), 18
+# An n-gram is one feature for each number of times it occurs at least, up to TIMES.
+SIZES, BITS, TIMES = (3, 4, 5), 18, 3
+FEATURES = TIMES << BITS
+CHUNK_ROWS = 200
 SAMPLE_PER_CLASS = 4000
 THRESHOLD = 0.7
 SMOOTHING, MIN_DOCS, L2, STEPS = 1.0, 3, 0.003, 80
 
 
+def features_of(text: str | None) -> np.ndarray:
+    """Numbers of the features of a whole text."""
+    return occurring(hashed(text, SIZES, BITS), BITS, TIMES)
+
+
 @dataclass
 class ToxicityModel:
-    """An intercept, and for each n-gram bucket the learned weight times its log-count ratio."""
+    """An intercept, and for each feature the learned weight times its log-count ratio."""
 
     intercept: float
     weights: np.ndarray
@@ -33,9 +42,8 @@ class ToxicityModel:
         @F.pandas_udf(T.DoubleType())
         def toxicity(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
             intercept, weights = shipped.value
-            flags = np.zeros(len(weights), dtype=bool)
             for batch in texts:
-                sums = [weights[distinct(hashed(text, SIZES, BITS), flags)].sum() for text in batch]
+                sums = [weights[features_of(text)].sum() for text in batch]
                 yield pd.Series(1 / (1 + np.exp(-np.clip(intercept + np.array(sums, dtype=float), -30, 30))))
 
         return toxicity(text)
@@ -51,63 +59,74 @@ def fit(
 ) -> ToxicityModel:
     """Fit on the documents that have a label of 0 or 1, given by id.
 
-    At most `per_class` documents of each class are used, so what one task and the driver hold is bounded: their
-    distinct n-gram buckets, and one weight a bucket. The class shares of all labels set the
-    intercept. Documents with several labels count once for each class they are in. Without any label every text gets a score
-    of 0.5 at most; with one class only, that of its share.
+    At most `per_class` documents of each class are used, so what one task and the driver hold is bounded:
+    their distinct n-gram buckets, and one weight a bucket. The class shares of all labels set the
+    intercept. Documents with several labels count once for each class they are in. Without any label
+    every text gets a score of 0.5 at most; with one class only, that of its share.
     """
     labelled = labels.where(F.col(label_col).isin(0, 1)).select(id_col, label_col).distinct()
     known = docs.select(id_col, text_col).join(labelled, id_col, "left_semi").select(id_col)
     shares = dict(labelled.join(known, id_col, "left_semi").groupBy(label_col).count().collect())
     if not shares.get(1):
-        return ToxicityModel(-30.0 if shares else 0.0, np.zeros(1 << BITS))
+        return ToxicityModel(-30.0 if shares else 0.0, np.zeros(FEATURES))
     chosen = sampled(labelled.join(known, id_col, "left_semi"), id_col, label_col, per_class)
     bounded = F.broadcast(chosen.withColumnRenamed(label_col, "label"))
     rows = docs.select(id_col, text_col).join(bounded, id_col).select("label", F.col(text_col).alias("text"))
-    features = rows.mapInPandas(_features, "label int, buckets array<int>").withColumn("model", F.lit(0))
+    features = rows.mapInPandas(_features, "label int, buckets array<int>")
     prior = (shares[1] + 0.5) / (sum(shares.values()) + 1)
-    fitted = features.groupBy("model").applyInPandas(
-        lambda sample: _train(sample, prior), "intercept double, weights array<double>"
-    )
+    train = _trainer(prior)
+    fitted = features.repartition(1).mapInArrow(train, "intercept double, weights binary")
     row = fitted.first()
-    return ToxicityModel(row["intercept"], np.array(row["weights"]))
+    if row is None:  # no text has an n-gram
+        return ToxicityModel(float(np.log(prior / (1 - prior))), np.zeros(FEATURES))
+    return ToxicityModel(row["intercept"], np.frombuffer(row["weights"], dtype=np.float32))
 
 
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    flags = np.zeros(1 << BITS, dtype=bool)
     for batch in batches:
-        buckets = [distinct(hashed(text, SIZES, BITS), flags).astype(np.int32) for text in batch["text"]]
-        yield pd.DataFrame({"label": batch["label"].astype("int32"), "buckets": buckets})
+        buckets = [features_of(text).astype(np.int32) for text in batch["text"]]
+        rows = pd.DataFrame({"label": batch["label"].astype("int32"), "buckets": buckets})
+        yield rows[rows["buckets"].map(len) > 0]
 
 
-def _train(sample: pd.DataFrame, prior: float) -> pd.DataFrame:
-    """Logistic regression on presence times log-count ratio.
+def _trainer(prior: float) -> Callable:
+    """Logistic regression on features times log-count ratios, over the sample in one task.
 
     Classes are weighed so that the sample has the shares of all labels.
     """
-    sample = sample[sample["buckets"].map(len) > 0]
-    size = 1 << BITS
-    y = sample["label"].to_numpy().astype(float)
-    lengths = sample["buckets"].map(len).to_numpy()
-    at = np.concatenate(sample["buckets"].to_list()) if len(sample) else np.zeros(0, dtype=np.int32)
-    toxic = np.bincount(at, weights=np.repeat(y, lengths), minlength=size)
-    docs = np.bincount(at, minlength=size)
-    n_toxic, n_clean = y.sum(), (1 - y).sum()
-    ratio = np.log((toxic + SMOOTHING) / (n_toxic + 2 * SMOOTHING))
-    ratio -= np.log((docs - toxic + SMOOTHING) / (n_clean + 2 * SMOOTHING))
-    ratio[docs < MIN_DOCS] = 0
-
-    intercept, weight = np.log(prior / (1 - prior)), np.zeros(size)
-    if n_toxic and n_clean:
-        share = np.where(y == 1, prior / n_toxic, (1 - prior) / n_clean)
-        weight, intercept = fit_logistic(at, ratio[at], lengths, y, share, size, intercept, L2, STEPS)
-    return pd.DataFrame({"intercept": [intercept], "weights": [weight * ratio]})
+
+    def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunks, labels = [], []
+        for batch in batches:
+            for start in range(0, batch.num_rows, CHUNK_ROWS):
+                part = batch.slice(start, CHUNK_ROWS)
+                at = part.column("buckets").flatten().to_numpy().copy()
+                chunks.append((at, None, part.column("buckets").value_lengths().to_numpy().copy()))
+                labels.append(part.column("label").to_numpy().astype(float))
+        y = np.concatenate(labels) if labels else np.zeros(0)
+        docs, toxic = np.zeros(FEATURES), np.zeros(FEATURES)
+        for (at, _, lengths), label in zip(chunks, labels):
+            docs += np.bincount(at, minlength=FEATURES)
+            toxic += np.bincount(at, weights=np.repeat(label, lengths), minlength=FEATURES)
+        n_toxic, n_clean = y.sum(), (1 - y).sum()
+        ratio = np.log((toxic + SMOOTHING) / (n_toxic + 2 * SMOOTHING))
+        ratio -= np.log((docs - toxic + SMOOTHING) / (n_clean + 2 * SMOOTHING))
+        ratio[docs < MIN_DOCS] = 0
+        intercept, weight = np.log(prior / (1 - prior)), np.zeros(FEATURES)
+        if n_toxic and n_clean:
+            share = np.where(y == 1, prior / n_toxic, (1 - prior) / n_clean)
+            weight, intercept = fit_logistic(chunks, y, share, ratio, intercept, L2, STEPS)
+        weights = (weight * ratio).astype(np.float32).tobytes()
+        yield pa.RecordBatch.from_pydict({"intercept": [intercept], "weights": [weights]})
+
+    return train
 
 
 def score_documents(
     docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """id, score, predicted of every row. Nothing but the text is looked at, whatever other columns are called."""
+    """id, score, predicted of every row. Nothing but the text is looked at, whatever other columns are
+    called."""
     scored = docs.select(F.col(id_col), model.score(F.col(text_col)).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
