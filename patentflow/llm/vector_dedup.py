@@ -87,14 +87,11 @@ def _hash_batches(tables: int, probes: int, seed: int) -> Callable:
 
 
 def _meet_first(own: np.ndarray, other: np.ndarray, tables: int, bucket: int) -> np.ndarray:
-    """For pairs of rows: whether `bucket` is the first in which they meet, one of them as in its own."""
+    """For pairs of rows: whether `bucket` is the smallest of all buckets that both are put in."""
     pairs = len(own)
     own, other = own.reshape(pairs, tables, -1), other.reshape(pairs, tables, -1)
-    base, base_other = own[:, :, 0], other[:, :, 0]
-    none = np.iinfo(np.int64).max
-    met = np.where((other == base[:, :, None]).any(axis=2), base, none)
-    met_other = np.where((own == base_other[:, :, None]).any(axis=2), base_other, none)
-    return np.minimum(met, met_other).min(axis=1) == bucket
+    shared = (own[:, :, :, None] == other[:, :, None, :]).any(axis=3)
+    return np.where(shared, own, np.iinfo(np.int64).max).min(axis=(1, 2)) == bucket
 
 
 def _compare(tables: int, cosine: float) -> Callable:
@@ -149,13 +146,13 @@ def near_vectors(
 
     Two vectors of equal dimension link if they meet in a bucket and their cosine in double precision is
     at least `cosine`. With six tables and four probes, pairs at a cosine of 0.9 meet with a probability
-    of 0.99, closer ones with more; no pair below the threshold links. Equal vectors are one class, which
+    of 0.999, closer ones with more; no pair below the threshold links. Equal vectors are one class, which
     is hashed once and links all its rows.
 
     Vectors that are NULL, empty, zero or have NULL or non-finite components, and rows with a NULL id,
     link with nothing and are kept. A repeated row counts as another vector. An empty table gives no rows.
 
-    Every pair that meets several times is counted in the first of its buckets only, so pairs never leave
+    Every pair that meets several times is counted in the smallest of its buckets only, so pairs never leave
     the cell that compares them: it returns sums and the edges of a forest, at most one a row.
     """
     slim = rows.select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"))

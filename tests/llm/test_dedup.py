@@ -209,5 +209,21 @@ def test_recall_at_the_threshold():
     assert met.mean() >= 0.97
 
 
+def test_pairs_in_a_shared_bucket_count_once():
+    """Also where two rows meet in next likely buckets of both only."""
+    draw, tables = np.random.default_rng(6), vector_dedup.TABLES
+    a = vector_dedup.unit_rows(draw.normal(size=(3000, 128)).ravel(), 3000)
+    b = draw.normal(size=a.shape)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.9 * a + np.sqrt(1 - 0.81) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    own, other = (vector_dedup.bucket_codes(x, tables, vector_dedup.PROBES, 0) for x in (a, b))
+    counted = [
+        sum(vector_dedup._meet_first(i[None], j[None], tables, bucket)[0] for bucket in set(i.tolist()) & set(j.tolist()))
+        for i, j in zip(own, other)
+    ]
+    shared = [bool(set(i.tolist()) & set(j.tolist())) for i, j in zip(own, other)]
+    assert counted == [int(x) for x in shared] and np.mean(shared) >= 0.997
+
+
 def test_hadamard_is_orthogonal():
     assert np.allclose(vector_dedup.hadamard(np.eye(16)) @ vector_dedup.hadamard(np.eye(16)).T, 16 * np.eye(16))
