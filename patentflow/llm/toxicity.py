@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patentflow.llm.linear import fit_logistic
+from patentflow.llm.linear import fit_converged
 from patentflow.llm.ngrams import hashed, occurring
 from patentflow.llm.samples import sampled
 
@@ -20,7 +20,9 @@ FEATURES = TIMES << BITS
 CHUNK_ROWS = 200
 SAMPLE_PER_CLASS = 4000
 THRESHOLD = 0.7
-SMOOTHING, MIN_DOCS, L2, STEPS = 1.0, 3, 0.003, 80
+SMOOTHING, MIN_DOCS, L2 = 1.0, 3, 0.003
+# The fit ends when no entry of its gradient is larger.
+TOLERANCE = 1e-6
 
 
 def features_of(text: str | None) -> np.ndarray:
@@ -115,7 +117,7 @@ def _trainer(prior: float) -> Callable:
         intercept, weight = np.log(prior / (1 - prior)), np.zeros(FEATURES)
         if n_toxic and n_clean:
             share = np.where(y == 1, prior / n_toxic, (1 - prior) / n_clean)
-            weight, intercept = fit_logistic(chunks, y, share, ratio, intercept, L2, STEPS)
+            weight, intercept, _ = fit_converged(chunks, y, share, ratio, intercept, L2, TOLERANCE)
         weights = (weight * ratio).astype(np.float32).tobytes()
         yield pa.RecordBatch.from_pydict({"intercept": [intercept], "weights": [weights]})
 

@@ -6,6 +6,7 @@ import zlib
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -255,6 +256,20 @@ def test_toxicity_on_unseen_documents(spark):
     assert kept.columns == ["doc_id", "text", "score"] and abs(kept.count() - 480) <= 6
 
 
+def test_toxicity_is_fitted_to_the_end():
+    """At the best intercept the classes' shares are those of the scores; 80 gradient steps end far from it."""
+    rnd = random.Random(8)
+    y = np.array([int(i % 7 == 0) for i in range(400)])
+    texts = [" ".join(rnd.choices(["the", "house", "stone", "river", "snaft" if bad else "walks"], k=60)) for bad in y]
+    buckets = [toxicity.features_of(text).astype(np.int32) for text in texts]
+    batch = pa.RecordBatch.from_pydict({"label": pa.array(y, pa.int32()), "buckets": pa.array(buckets, pa.list_(pa.int32()))})
+    fitted = next(toxicity._trainer(0.1)([batch]))
+    weights = np.frombuffer(fitted.column("weights")[0].as_py(), dtype=np.float32).astype(float)
+    margin = fitted.column("intercept")[0].as_py() + np.array([weights[at].sum() for at in buckets])
+    share = np.where(y == 1, 0.1 / y.sum(), 0.9 / (1 - y).sum())
+    assert abs((share * (1 / (1 + np.exp(-margin)) - y)).sum()) < 1e-5
+
+
 def test_toxicity_without_labels_or_with_one_class(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], DOCS)
     labels = spark.createDataFrame([(1, 0), (2, None), (9, 1)], "doc_id bigint, toxic int")
