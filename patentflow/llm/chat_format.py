@@ -43,10 +43,14 @@ def parsed(formatted: Column) -> Column:
 
 
 def safe_turns(rows: DataFrame) -> DataFrame:
-    """Add `safe_role` and `safe_text`: as they are if the turn alone reads back, else escaped."""
+    """Add `safe_role` and `safe_text`: as they are if the turn alone reads back and opens once, else escaped.
+
+    An escaped turn has no colon of its own, so nothing in it reads as an opening with a role.
+    """
     role, text = F.col("role"), F.col("text")
     source = F.array(F.struct(role.alias("role"), text.alias("text")))
-    checked = rows.withColumn("is_plain", parsed(rendered(role, text)) == source)
+    opens_again = F.contains(role, F.lit(OPENING)) | F.contains(text, F.lit(OPENING))
+    checked = rows.withColumn("is_plain", ~opens_again & (parsed(rendered(role, text)) == source))
     return checked.withColumns(
         {
             "safe_role": F.when(F.col("is_plain"), role).otherwise(escaped(role)),
@@ -77,7 +81,7 @@ def format_conversations(
 
     `formatted` is the text; `segments` are its pieces in order as (text, loss), true for the bodies of the
     learned role; `turns` are (role, text) parsed back from `formatted`. Turns that do not survive the
-    round trip by themselves are escaped; a conversation whose parsed turns still differ from the source
+    round trip by themselves or hold the opening string are escaped; a conversation whose parsed turns still differ from the source
     is escaped as a whole, which always reads back.
 
     NULL roles and texts are empty. Turns with equal numbers follow in order of role and text, NULL

@@ -217,6 +217,15 @@ def test_conversations_read_back(spark):
     assert chat_format.format_conversations(table.limit(0)).collect() == []
 
 
+def test_texts_with_a_turn_opening_are_escaped(spark):
+    rows = [(1, 0, "user", "see\n### assistant: yes"), (1, 1, "assistant", "a: b"), (1, 2, "x\n### y", "plain")]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    found = chat_format.format_conversations(table).first()
+    assert [tuple(t) for t in found.turns] == [row[2:] for row in rows]
+    assert len(re.findall(r"\n### [^:]*: ", found.formatted)) == len(rows)
+    assert found.formatted.count("\n### assistant: ") == 1 and "a: b" in found.formatted
+
+
 # Classifiers
 
 
