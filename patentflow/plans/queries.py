@@ -253,9 +253,10 @@ def split_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sample_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The shuffled ids, and that their order has nothing to do with the one they came in."""
-    ids = stage(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id"))
-    placed = stage(labeling.shuffle_rows(ids).withColumn("place", F.monotonically_increasing_id()))
+    """The ids of the documents shuffled with their texts, and that their order has nothing to do with the one
+    they came in."""
+    scan = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    placed = stage(labeling.shuffle_rows(scan).withColumn("place", F.monotonically_increasing_id()))
     order = F.abs(F.corr(F.col("place").cast("double"), F.col("doc_id").cast("double"))) < 0.5
     moved = placed.agg(order.alias("is_shuffled"))
     return placed.select("doc_id", F.lit(None).cast("boolean").alias("is_shuffled")).unionByName(

@@ -132,6 +132,14 @@ def test_shuffle_keeps_rows_and_changes_order(spark):
     assert found == values(labeling.shuffle_rows(staged, 3))
 
 
+def test_shuffle_query_moves_whole_texts(spark, sf_dir, monkeypatch):
+    moved = []
+    shuffle = labeling.shuffle_rows
+    monkeypatch.setattr(labeling, "shuffle_rows", lambda df, *a: moved.append(df.columns) or shuffle(df, *a))
+    found = QUERIES["sample_shuffle"](spark, sf_dir)
+    assert found.columns == ["doc_id", "is_shuffled"] and moved == [["doc_id", "text"]]
+
+
 def test_dictionaries_number_sorted_values(spark):
     """Levels, sections and subclasses share one dictionary; classes, groups and subgroups another."""
     lists = [
