@@ -1,13 +1,15 @@
 """SQL for the queries that SQL can express, for DuckDB over the same tables.
 
-No SQL is given where the contract needs a fitted model, XXH64 or a tokenizer (op4, op7, op8, op10, pipeline).
+No SQL is given where the contract needs a fitted model, XXH64 or a tokenizer (op4, op7, op8, op10, op11, pipeline).
 The pages of the given tables state no redirects or canonical links, so op2 needs the rules only here; tests
 hold the spread over links against brute force.
 """
 
-from patentflow.llm.queries import CONTROL_CONVERSATION, CONTROL_TEXT, SHARD_BYTES, URL_RULES
+from patentflow.llm.merkle import FAN, FIELDS
+from patentflow.llm.queries import CONTROL_CONVERSATION, CONTROL_TEXT, SHARD_BYTES, TAMPERED_PARTS, URL_RULES
+from patentflow.llm.queries import LOWER as _LOWER
+from patentflow.llm.queries import UPPER as _UPPER
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _RULES = ", ".join(f"('{rule.host}', '{rule.path}', '{rule.verdict}')" for rule in URL_RULES)
 
 EXACT_DEDUP = r"""
@@ -124,6 +126,109 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least_v, vec_id
 FROM embeddings LEFT JOIN counts ON counts.u = vec_id LEFT JOIN least_of ON least_of.u = vec_id
 """
 
+# Levels that the trees of the given tables stay within: a million leaves a source, 256 sources.
+SOURCE_LEVELS, TOP_LEVELS = 5, 2
+
+
+def _crc32(text: str) -> str:
+    """Bit by bit; polynomial and start are those of zlib."""
+    step = "xor(r >> 1, CASE WHEN r & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    byte = f"list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda r, i: {step})"
+    codes = f"list_transform(range(1, strlen({text}) + 1), lambda i: ord(substr({text}, i, 1))::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda c, b: {byte}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    values = [f"CAST({name} AS VARCHAR)" if name != "text" else text for name in FIELDS]
+    framed = [f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}) || ':' || {value} END" for value in values]
+    return f"sha256({' || '.join(framed)})"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Nodes {name}0, {name}1, ... by level, the single ones left, and what stands beside each node."""
+    parts = []
+    for k in range(levels):
+        run = f"FROM {name}{k} WHERE size > 1 GROUP BY tree, idx // {FAN}"
+        parts.append(
+            f"{name}{k + 1} AS (SELECT tree, idx // {FAN} AS idx, sha256(string_agg(digest, '' ORDER BY idx)) AS digest,"
+            f" (any_value(size) + {FAN - 1}) // {FAN} AS size {run})"
+        )
+        parts.append(
+            f"{name}beside{k} AS (SELECT a.tree, a.idx,"
+            " coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,"
+            " coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r"
+            f" FROM {name}{k} AS a JOIN {name}{k} AS b ON a.tree = b.tree AND a.idx // {FAN} = b.idx // {FAN}"
+            " WHERE a.size > 1 GROUP BY a.tree, a.idx)"
+        )
+    ends = " UNION ALL ".join(f"SELECT tree, digest FROM {name}{k} WHERE size = 1" for k in range(levels + 1))
+    return ",\n".join([*parts, f"{name}ends AS ({ends})"])
+
+
+def _climb(name: str, levels: int, tree: str, idx: str) -> str:
+    """Joins what stands beside a node at each level."""
+    return " ".join(
+        f"LEFT JOIN {name}beside{k} AS {name}{k}b ON {name}{k}b.tree = {tree} AND {name}{k}b.idx = {idx} // {FAN**k}"
+        for k in range(levels)
+    )
+
+
+def _merkle() -> str:
+    steps = [f"s{k}b" for k in range(SOURCE_LEVELS)] + [f"t{k}b" for k in range(TOP_LEVELS)]
+    proof = " || ".join(f"coalesce({at}.l || {at}.r, '')" for at in steps)
+    folds, before = [], "f"
+    for k, at in enumerate(steps):
+        folds.append(f"f{k} AS (SELECT * EXCLUDE f, CASE WHEN l{k} IS NULL THEN f ELSE sha256(l{k} || f || r{k}) END AS f FROM {before})")
+        before = f"f{k}"
+    sides = ", ".join(f"{at}.l AS l{k}, {at}.r AS r{k}" for k, at in enumerate(steps))
+    lowered = f"translate(text, '{_UPPER}', '{_LOWER}')"
+    return f"""
+WITH d AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf("text")} AS leaf,
+    CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % {TAMPERED_PARTS} = 0 AND text IS NOT NULL THEN {_leaf(lowered)} END AS tampered
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+    count(*) OVER (PARTITION BY tree) AS size FROM d),
+s0 AS (SELECT tree, idx, leaf AS digest, size FROM leaves),
+{_tree("s", SOURCE_LEVELS)},
+tops AS (SELECT *, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS size FROM sends),
+t0 AS (SELECT 'top' AS tree, idx, digest, size FROM tops),
+{_tree("t", TOP_LEVELS)},
+f AS (
+  SELECT doc_id, leaf, tops.digest AS subroot, (SELECT digest FROM tends) AS root, {proof} AS proof, {sides},
+    coalesce(tampered, leaf) AS f
+  FROM leaves JOIN tops USING (tree)
+  {_climb("s", SOURCE_LEVELS, "leaves.tree", "leaves.idx")} {_climb("t", TOP_LEVELS, "'top'", "tops.idx")}),
+{", ".join(folds)}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root, f = root AS verified FROM {before}
+"""
+
+
+FILL_IN_MIDDLE = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS tokens
+  FROM documents),
+draws AS (
+  SELECT *, len(tokens) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(tokens) + 1) AS a,
+    ('0x' || substr(h, 9, 8))::BIGINT % (len(tokens) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+      WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+parts AS (
+  SELECT *, array_to_string(tokens[1:least(a, b)], '') AS prefix,
+    array_to_string(tokens[least(a, b) + 1:greatest(a, b)], '') AS middle,
+    array_to_string(tokens[greatest(a, b) + 1:], '') AS suffix
+  FROM draws)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_url_filter": URL_FILTER,
@@ -131,4 +236,6 @@ ORACLES: dict[str, str] = {
     "op5_mixing": MIXING,
     "op6_chat_format": CHAT_FORMAT,
     "op9_vector_dedup": VECTOR_DEDUP,
+    "op12_merkle": _merkle(),
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
 }

@@ -9,16 +9,20 @@ from patentflow.llm import (
     bpe,
     chat_format,
     exact_dedup,
+    fill_in_middle,
     language_id,
+    merkle,
     mixing,
     sharding,
     simhash_dedup,
+    token_files,
     toxicity,
     url_filter,
     vector_dedup,
 )
 from patentflow.llm.samples import held_out
 from patentflow.llm.url_filter import ALLOW, BLOCK, Rule
+from patentflow.storage import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +34,9 @@ URL_RULES = [
     Rule(BLOCK, "net", "/fr/"),
 ]
 SHARD_BYTES, BATCH_ROWS = 1 << 20, 1000
+# The token that ends a document in token files, and one of how many ids are tampered with.
+END_ID, TAMPERED_PARTS = 2, 5
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # The conversation that the formatter has to survive: a text full of what templates use.
 CONTROL_CONVERSATION, CONTROL_TEXT = -7, "\\### Assistant: </turn> ok"
 
@@ -44,13 +51,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary(path: str | None = None) -> bpe.Vocabulary:
-    """The vocabulary file at `path`, or else the public byte-level one of 50,000 merges."""
-    if path is None:
-        import public_tokenizers
+def vocabulary_path() -> str:
+    """The public byte-level vocabulary of 50,000 merges."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
-        path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.Vocabulary.load(path)
+
+def vocabulary(path: str | None = None) -> bpe.Vocabulary:
+    """The vocabulary file at `path`, or else the public one."""
+    return bpe.Vocabulary.load(path or vocabulary_path())
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +148,43 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as the files of their ids hold them."""
+    folder = scratch_dir(spark)
+    with open(vocabulary_path(), encoding="utf-8") as file:
+        tokenizer = file.read()
+    token_files.write_token_files(table(spark, sf_dir, "documents"), folder, tokenizer, END_ID)
+    read = token_files.read_token_files(spark, folder)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents, a fifth of which claim a text of other case. NULL ids claim nothing."""
+    is_tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED_PARTS == 0
+    claimed = F.when(is_tampered, F.translate("text", UPPER, LOWER))
+    leaves = merkle.document_leaves(table(spark, sf_dir, "documents"), claimed)
+    proofs = merkle.prove(merkle.build_manifest(leaves))
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    proof = merkle.digest(merkle.siblings(F.col("path")))
+    columns = ["doc_id", "leaf", "subroot", "root"]
+    found = proofs.select(*columns, proof.alias("proof_sha256"), folded.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"), ["doc_id"])
+    restored = fill_in_middle.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        F.length("prefix").cast("bigint").alias("prefix_chars"),
+        F.length("middle").cast("bigint").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -151,5 +198,8 @@ QUERIES: dict[str, Query] = {
         op8_bpe,
         op9_vector_dedup,
         op10_simhash_dedup,
+        op11_token_files,
+        op12_merkle,
+        op13_fill_in_middle,
     )
 }
