@@ -1,4 +1,4 @@
-"""The jobs from a command line: python -m patentflow extract|top|label|fit|score ..."""
+"""The jobs from a command line: python -m patentflow extract|ingest|top|label|fit|score ..."""
 
 import argparse
 from datetime import date
@@ -6,6 +6,7 @@ from datetime import date
 from patentflow.operators.labeling import MAX_NEGATIVES
 from patentflow.plans import jobs
 from patentflow.session import build_session
+from patentflow.streaming.archives import ingest_archives
 
 
 def arguments() -> argparse.Namespace:
@@ -18,6 +19,12 @@ def arguments() -> argparse.Namespace:
     extract.add_argument("--glob", default="*")
     extract.add_argument("--max-rows", type=int, default=None, help="bound on rows per file")
 
+    ingest = commands.add_parser("ingest", help="archives that are new since the last call -> patents, word counts")
+    ingest.add_argument("archives")
+    ingest.add_argument("out")
+    ingest.add_argument("--glob", default="*")
+    ingest.add_argument("--per-batch", type=int, default=None, help="bound on archives a batch")
+
     top = commands.add_parser("top", help="word counts of several runs -> merged top words")
     top.add_argument("out")
     top.add_argument("counts", nargs="+")
@@ -49,6 +56,8 @@ def main() -> None:
     if given.command == "extract":
         damaged = jobs.extract_job(spark, given.archives, given.out, given.glob, given.max_rows)
         print({"damaged": damaged})
+    elif given.command == "ingest":
+        ingest_archives(spark, given.archives, given.out, given.glob, given.per_batch)
     elif given.command == "top":
         jobs.write_top_words(spark, given.out, *given.counts)
     elif given.command == "label":

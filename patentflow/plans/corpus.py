@@ -174,3 +174,26 @@ def damaged(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["path", "content"])
 
     return docs.select("doc_id", "text").mapInArrow(spoil, ARCHIVE_BLOBS)
+
+
+PART_KINDS = ("page", "cut", "other", "sound")
+PART_ROWS = 5000
+
+
+def write_damaged_parts(docs: DataFrame, staged: str, folder: str) -> None:
+    """Documents as parquet parts below a folder, three of four spoilt, as the id's remainder by four says: 0, bytes
+    of the first page are overwritten; 1, cut in the middle; 2, the part is no parquet; 3, sound."""
+    kind = F.element_at(F.array(*map(F.lit, PART_KINDS)), (F.col("doc_id") % 4 + 1).cast("int"))
+    writer = docs.withColumn("kind", F.coalesce(kind, F.lit("sound"))).write.option("maxRecordsPerFile", PART_ROWS)
+    writer.partitionBy("kind").parquet(staged)
+    files = docs.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(staged)
+    content, size = F.col("content"), F.length("content")
+    page = F.concat(F.substring(content, 1, 40), F.lit(b"\xff" * 16), F.substring(content, F.lit(57), size))
+    spoilt = (
+        F.when(F.col("kind") == "page", page)
+        .when(F.col("kind") == "cut", F.substring(content, F.lit(1), F.floor(size / 2).cast("int")))
+        .when(F.col("kind") == "other", F.lit(b"no parquet"))
+        .otherwise(content)
+    )
+    name = F.concat("kind", F.lit("-"), F.substring_index("path", "/", -1))
+    write_archives(files.select(name.alias("path"), spoilt.alias("content")), folder)

@@ -1,6 +1,7 @@
 """The registered queries as DuckDB SQL, written independently of the Spark expressions."""
 
 from patentflow.plans.corpus import KNOWN_SQL, PATENTS_SQL
+from patentflow.plans.event_oracles import ORACLES as EVENT_ORACLES
 from patentflow.schemas import CODE_LISTS, CODE_SPECS, TRAIN_COLS, CodeSpec, features_of, lists_of
 
 
@@ -68,7 +69,7 @@ _STEPS = {
         SELECT word, count(*) AS n
         FROM (SELECT replace(unnest(tokens), '"', '') AS word FROM tokens) GROUP BY word""",
     "named": "SELECT *, split_part(file_name, '/', 2) AS base_name FROM patents",
-    "others": "SELECT file_name FROM named WHERE base_name NOT IN (SELECT base_name FROM known)",
+    "others": "SELECT file_name, raw_txt FROM named WHERE base_name NOT IN (SELECT base_name FROM known)",
     "first_2000": "SELECT file_name FROM others ORDER BY file_name LIMIT 2000",
     "energy": """
         SELECT file_name, coalesce(classes[1] >= '01' AND classes[1] < '30', false) AS is_energy FROM codes""",
@@ -146,7 +147,7 @@ _BODIES = {
     "src_filelist_parse": """
         SELECT base_name, true AS kept FROM named UNION ALL SELECT url, false FROM pages""",
     "join_semi_positive": "SELECT file_name, raw_txt FROM positives",
-    "join_anti_negative": "SELECT file_name FROM others",
+    "join_anti_negative": "SELECT file_name, raw_txt FROM others",
     "first_negatives": "SELECT file_name FROM others ORDER BY file_name LIMIT 20",
     "label_union": f"""
         SELECT file_name, target, {_JOINED} FROM codes JOIN (
@@ -175,7 +176,12 @@ _BODIES = {
     "src_archive_damage": """
         SELECT doc_id, CAST([1, 1, 2, 2, 0, 3][doc_id % 6 + 1] AS bigint) AS n_members,
           CAST(doc_id % 6 < 5 AS bigint) AS n_errors FROM documents""",
-    "src_unreadable_parts": "SELECT doc_id, NULL::bigint AS n_parts FROM documents UNION ALL SELECT NULL, 1",
+    "stream_archives": f"""
+        SELECT file_name, title, abstract, "year", cast(doc_id % 2 AS int) AS batch, {_JOINED}
+        FROM english JOIN (SELECT file_name, doc_id FROM patents) USING (file_name)""",
+    "src_unreadable_parts": """
+        SELECT doc_id, text, lang, source, n_chars, NULL::boolean AS is_told FROM documents
+        WHERE coalesce(doc_id % 4 = 3, true) UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, true""",
     "sink_parquet_roundtrip": 'SELECT file_name, title, abstract, "year" FROM english',
     "sink_bounded_files": "SELECT count(*) AS n_rows, 7::bigint AS largest, true AS is_split FROM documents",
     "sink_if_any": 'SELECT file_name, true AS "any", false AS "none" FROM english',
@@ -184,4 +190,4 @@ _BODIES = {
     "sink_wordcount_roundtrip": "SELECT word, n FROM counts",
 }
 
-ORACLES = {name: _with(body) for name, body in _BODIES.items()}
+ORACLES = {name: _with(body) for name, body in _BODIES.items()} | EVENT_ORACLES

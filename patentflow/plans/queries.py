@@ -12,13 +12,14 @@ from patentflow.functions import ipc, markup, text
 from patentflow.operators import labeling, model, patents, wordcount
 from patentflow.operators.dictionary import dictionary_of, encode_features, fit_dictionaries
 from patentflow.plans import corpus
+from patentflow.plans.event_queries import QUERIES as EVENT_QUERIES
 from patentflow.plans.jobs import fit_classifier
 from patentflow.schemas import ARCHIVE_BLOBS, CODE_LISTS, TRAIN_COLS
 from patentflow.sources import archives, tables
 from patentflow.storage import scratch_dir, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Query] = dict(EVENT_QUERIES)
 
 RUN_DAY, OTHER_DAY = "2024-01-31", "2024-02-01"
 FEW_NEGATIVES, FEW_ROWS = 20, 7
@@ -221,7 +222,7 @@ def join_semi_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def join_anti_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = corpus.patents(spark, sf_dir).select("file_name")
+    docs = corpus.patents(spark, sf_dir).select("file_name", "raw_txt")
     return labeling.others(docs, corpus.known(spark, sf_dir))
 
 
@@ -414,16 +415,20 @@ def src_archive_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def src_unreadable_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table with a part that is no parquet: the rows of the others, and the number of parts left out."""
-    path = scratch_dir(spark)
-    docs = corpus.documents(spark, sf_dir).select("doc_id")
-    docs.write.parquet(path)
-    spark.range(1).coalesce(1).select(F.lit("no parquet")).write.mode("append").text(path)
-    rows = tables.read_parts(spark, path, docs.schema)
-    left_out = tables.unreadable_parts(spark, path, docs.schema).agg(F.count("*").alias("n_parts"))
-    return rows.withColumn("n_parts", F.lit(None).cast("bigint")).unionByName(
-        left_out.select(F.lit(None).cast("bigint").alias("doc_id"), "n_parts")
+    """Whole rows of a table with parts that are spoilt in three ways: what the sound ones hold, and in one more row,
+    whether the spoilt parts and no others are reported."""
+    docs, folder = corpus.documents(spark, sf_dir), scratch_dir(spark)
+    corpus.write_damaged_parts(docs, f"{folder}/sound", f"{folder}/parts")
+    rows = tables.read_parts(spark, f"{folder}/parts", docs.schema)
+    left_out = tables.unreadable_parts(spark, f"{folder}/parts", docs.schema).withColumn("left_out", F.lit(True))
+    names = F.substring_index(F.input_file_name(), "/", -1)
+    files = spark.read.format("binaryFile").load(f"{folder}/parts").select(names.alias("name"))
+    told = left_out.select(F.substring_index("part", "/", -1).alias("name"), "left_out")
+    judged = files.join(told, "name", "full").agg(
+        F.every(F.coalesce("left_out", F.lit(False)) != F.startswith("name", F.lit("sound"))).alias("is_told")
     )
+    nothing = [F.lit(None).cast(field.dataType).alias(field.name) for field in docs.schema]
+    return rows.withColumn("is_told", F.lit(None).cast("boolean")).unionByName(judged.select(*nothing, "is_told"))
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -442,7 +447,7 @@ def sink_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_bounded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in files of a few rows: the largest has that many, and there are as many as it takes."""
     path = scratch_dir(spark)
-    sinks.write_table(corpus.documents(spark, sf_dir).select("doc_id"), path, FEW_ROWS)
+    sinks.write_table(corpus.documents(spark, sf_dir), path, FEW_ROWS)
     per_file = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).count()
     return per_file.agg(
         F.sum("count").alias("n_rows"),

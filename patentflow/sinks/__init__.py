@@ -1,9 +1,12 @@
 """Parquet and JSON outputs."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patentflow.functions import text
+from patentflow.storage import remove, swap_in
 
 # Fixed value: bound on rows per part where one is wanted.
 MAX_ROWS = 3000
@@ -19,9 +22,18 @@ def write_table(df: DataFrame, path: str, max_rows: int | None = None) -> None:
 
 def write_dated(df: DataFrame, path: str, day: str) -> None:
     """Write under the run date. Exactly that date is replaced: a rerun repeats no rows, and one without
-    rows leaves none of the earlier ones."""
-    folder = f"{path.rstrip('/')}/ex_date={text.compact_date(day)}"
-    df.write.mode("overwrite").option("compression", "snappy").parquet(folder)
+    rows leaves none of the earlier ones.
+
+    The rows are written under a hidden name and take the place of the earlier ones when all are there; a run that
+    fails changes nothing.
+    """
+    spark, root, date = df.sparkSession, path.rstrip("/"), text.compact_date(day)
+    written = f"{root}/.ex_date-{date}-{uuid.uuid4().hex}"
+    try:
+        df.write.option("compression", "snappy").parquet(written)
+        swap_in(spark, written, f"{root}/ex_date={date}")
+    finally:
+        remove(spark, written)
 
 
 def read_dated(spark: SparkSession, path: str) -> DataFrame:

@@ -75,8 +75,13 @@ def read_archives(
     blocks. Nothing is read before an action. What lies behind damage in an archive is lost, as in a
     sequential reading.
     """
-    tasks = tasks or TASKS_PER_CORE * spark.sparkContext.defaultParallelism
-    blocks = archive_blocks(list_archives(spark, path, glob), block_bytes, tasks)
+    return read_listed(list_archives(spark, path, glob), block_bytes, tasks)
+
+
+def read_listed(archives: DataFrame, block_bytes: int = BLOCK_BYTES, tasks: int | None = None) -> DataFrame:
+    """The rows of `read_archives` for the archives of a table (path, length)."""
+    tasks = tasks or TASKS_PER_CORE * archives.sparkSession.sparkContext.defaultParallelism
+    blocks = archive_blocks(archives, block_bytes, tasks)
     return blocks.repartition(tasks).mapInArrow(tar.block_reader, UNPACKED)
 
 

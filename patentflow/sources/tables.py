@@ -13,19 +13,31 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_parts(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """All parquet parts of a folder; an unreadable part is left out, see `unreadable_parts`."""
-    reader = spark.read.option("ignoreCorruptFiles", True)
+    """All parquet parts of a folder; what cannot be read of a part is left out, see `unreadable_parts`.
+
+    Checksums of pages are compared, so damage that decodes to something is damage too.
+    """
+    reader = spark.read.option("ignoreCorruptFiles", True).option("parquet.page.verify-checksum.enabled", True)
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
 def unreadable_parts(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """`part`: the files of a folder that give no row when unreadable ones are left out.
+    """`part`, `n_rows` and `n_read` of the files of a folder that give fewer rows than they hold.
 
-    Files that are readable but have no rows are among them: neither contributes.
+    `n_rows` is what the footer of a file promises, NULL if it has none that can be read (or promises no row);
+    `n_read` is how many rows come out when every column is decoded, as with `read_parts`. All pages of all
+    columns are read once, whatever columns a job goes on to use.
     """
     parts = read_parts(spark, path, schema)
     listed = spark.createDataFrame([(name,) for name in parts.inputFiles()], "part string")
-    return listed.join(parts.select(F.input_file_name().alias("part")).distinct(), "part", "left_anti")
+    by_file = parts.withColumn("part", F.input_file_name()).groupBy("part")
+    promised = by_file.agg(F.count("*").alias("n_rows"))
+    # Counting the values of a column decodes its pages; the sum keeps all columns in the plan.
+    n_values = sum((F.count(F.col(f"`{name}`")) for name in parts.columns), F.lit(0))
+    decoded = by_file.agg(F.count("*").alias("n_read"), n_values.alias("n_values")).where("n_values >= 0")
+    found = listed.join(promised, "part", "left").join(decoded.drop("n_values"), "part", "left")
+    n_read = F.coalesce("n_read", F.lit(0))
+    return found.select("part", "n_rows", n_read.alias("n_read")).where("n_rows IS NULL OR n_read < n_rows")
 
 
 def read_file_list(spark: SparkSession, path: str) -> DataFrame:

@@ -28,3 +28,23 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that a job has staged in, on any storage that Spark reaches."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def swap_in(spark: SparkSession, written: str, folder: str) -> None:
+    """Put a wholly written folder in the place of another one, on any storage that Spark reaches.
+
+    The former one is set aside under a hidden name first and deleted last, so its rows exist until the new ones are
+    in place.
+    """
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    new, old = paths(written), paths(folder)
+    aside = paths(old.getParent(), f".former-{uuid.uuid4().hex}")
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    had_rows = files.exists(old)
+    if had_rows and not files.rename(old, aside):
+        raise OSError(f"{folder} cannot be renamed")
+    if not files.rename(new, old):
+        if had_rows:
+            files.rename(aside, old)
+        raise OSError(f"{written} cannot be renamed to {folder}")
+    files.delete(aside, True)

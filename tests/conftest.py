@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("documents", "labels", "pages")
+TABLES = ("documents", "labels", "pages", "events")
 
 
 @pytest.fixture(scope="session")

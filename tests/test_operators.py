@@ -245,6 +245,55 @@ def test_unreadable_parts_are_left_out(spark, tmp_path):
     assert tables.read_parts(spark, str(tmp_path / "t"), spark.range(1).schema).count() == 10
 
 
+@pytest.mark.parametrize("compression", ["snappy", "none"])
+def test_damage_inside_parts_is_reported(spark, tmp_path, compression):
+    """A bit of a page of the last column, a cut, no parquet at all; other columns of the first can be read."""
+    path = tmp_path / "t"
+    texts = spark.range(0, 4000, 1, 4).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    texts.write.option("compression", compression).parquet(str(path))
+    page, cut, other, sound = sorted(path.glob("*.parquet"))
+    data = bytearray(page.read_bytes())
+    data[len(data) * 3 // 4] ^= 1
+    page.write_bytes(data)
+    cut.write_bytes(cut.read_bytes()[:5000])
+    other.write_bytes(b"no parquet")
+    for name in path.glob(".*.crc"):
+        name.unlink()
+    found = tables.unreadable_parts(spark, str(path), texts.schema).collect()
+    told = {r.part.rpartition("/")[2]: (r.n_rows, r.n_read) for r in found}
+    assert told == {page.name: (1000, 0), cut.name: (None, 0), other.name: (None, 0)}
+    read = tables.read_parts(spark, str(path), texts.schema)
+    assert read.select(F.count("text")).first()[0] == 1000
+    assert rows(read.select("id", "text").exceptAll(texts)) == []
+
+
+def test_sound_parts_are_not_reported(spark, tmp_path):
+    nested = spark.range(0, 50, 1, 3).select("id", F.create_map("id", "id").alias("m"), F.array("id").alias("a.b"), F.lit(None).cast("int").alias("n"))
+    nested.write.parquet(str(tmp_path / "t"))
+    assert tables.unreadable_parts(spark, str(tmp_path / "t")).collect() == []
+
+
+def test_a_run_that_fails_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    sinks.write_dated(spark.range(100), path, "2024-01-31")
+    broken = spark.range(0, 100, 1, 4).select(F.when(F.col("id") > 60, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.write_dated(broken, path, "2024-01-31")
+    with pytest.raises(Exception, match="broken"):
+        sinks.write_dated(broken, path, "2024-02-01")
+    found = sinks.read_dated(spark, path)
+    assert sorted(r.id for r in found.collect()) == list(range(100))
+    assert [p.name for p in (tmp_path / "dated").iterdir()] == ["ex_date=20240131"]
+
+
+def test_a_folder_is_not_lost_if_its_successor_cannot_move(spark, tmp_path):
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old" / "row").write_text("here")
+    with pytest.raises(Exception):
+        swap_in(spark, str(tmp_path / "missing"), str(tmp_path / "old"))
+    assert (tmp_path / "old" / "row").read_text() == "here"
+
+
 def test_tables_are_read_as_they_are(spark, tmp_path):
     spark.range(100).coalesce(1).write.parquet(str(tmp_path / "small"))
     assert "Exchange" not in plan(tables.read_table(spark, str(tmp_path / "small")))
