@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 from tokenizers import Tokenizer
 
+from patentflow.llm.bpe import byte_letters
 from patentflow.storage import stage
 
 MAGIC = b"TOKPFOR1"
@@ -238,6 +239,8 @@ class ChunkEncoder:
     ODD = re.compile("[\x1c-\x1f]")
     # A run of Latin letters if white space, ASCII punctuation or the end follows; else all up to white space.
     CHUNKS = re.compile(r"\s*+[A-Za-zÀ-ÖØ-öø-ɏ]++(?=[ \t\n\r!-/:-@\[-`{-~]|\Z)|\s*\S+|\s+")
+    # Such a chunk is one piece, which the library's model takes as it is, byte by byte in its own letters.
+    PIECE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
     BORDER = re.compile(r"(?<=\S)[ \t\n\r]")
 
     def __init__(self, tokenizer_json: str):
@@ -253,12 +256,19 @@ class ChunkEncoder:
             self.tokenizer.no_padding()
             self.tokenizer.no_truncation()
             self.cuts = _cuts_at_spaces(json.loads(self.tokenizer_json))
-            self.cache = _Chunks(self.whole)
+            self.model, self.letters = self.tokenizer.model, {byte: letter for letter, byte in byte_letters().items()}
+            self.cache = _Chunks(self.chunk)
         return self
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def chunk(self, text: str) -> bytes:
+        if not self.PIECE.fullmatch(text):
+            return self.whole(text)
+        letters = text.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+
     def parts(self, text: str | None) -> Iterator[np.ndarray]:
         """The ids of a text; those of a long one stretch by stretch."""
         if text and (not self.cuts or self.ODD.search(text)):
@@ -274,15 +284,20 @@ class ChunkEncoder:
 
 
 class _Chunks(dict):
-    """Ids of short chunks that were met, forgotten when there are too many."""
+    """Ids of short chunks that were met lately. When there are too many, those not met again since the last time
+    that happened are forgotten."""
 
     def __init__(self, encode: Callable[[str], bytes]):
         self.encode = encode
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, text: str) -> bytes:
-        ids = self.encode(text)
+        ids = self.older.pop(text, None)
+        if ids is None:
+            ids = self.encode(text)
         if len(text) <= CACHED_CHARS:
             if len(self) >= CACHED_CHUNKS:
+                self.older = dict(self)
                 self.clear()
             self[text] = ids
         return ids
