@@ -4,6 +4,7 @@ from patentflow.plans.event_queries import (
     DELAYED_PART,
     DELAYED_PARTS,
     DELIVERIES,
+    FRAME_ROWS,
     GAP_HOURS,
     HOUR,
 )
@@ -43,6 +44,24 @@ runs AS (SELECT *, sum(is_first::int) OVER (PARTITION BY user_id ORDER BY us, ev
 found AS (SELECT user_id, nth, min(us) AS first_at, max(us) AS last_at, count(*) AS n_events,
   CAST(sum(cents) AS bigint) AS cents FROM runs GROUP BY user_id, nth)"""
 
+
+
+def _totals(sets: str) -> str:
+    return f"""
+WITH {_EVENTS},
+x AS (SELECT nullif(event_type, 'error') AS kind, CAST(day(ts) AS int) AS "day", CAST(hour(ts) AS int) AS "hour", cents FROM e)
+SELECT kind, "day", "hour", CAST(grouping_id(kind, "day", "hour") AS bigint) AS level, count(*) AS n_rows,
+  CAST(sum(cents) AS bigint) AS cents FROM x GROUP BY {sets}"""
+
+
+def _frame(names: str, frame: str) -> str:
+    n, total, most = names.split()
+    return f"""
+WITH {_EVENTS}
+SELECT event_id, user_id, count(*) OVER w AS {n}, CAST(sum(cents) OVER w AS bigint) AS {total}, max(cents) OVER w AS {most}
+FROM e WINDOW w AS (PARTITION BY user_id ORDER BY {frame})"""
+
+
 ORACLES: dict[str, str] = {
     "stream_tumbling": _windows(1, 1),
     "stream_sliding": _windows(6, 2),
@@ -62,4 +81,25 @@ v AS (SELECT *, us + cents // 5 * 60000000 AS stop FROM e WHERE event_type = 'vi
 x AS (SELECT *, us + cents // 2 * 60000000 AS stop FROM e WHERE event_type = 'error')
 SELECT v.user_id, v.event_id AS view_id, x.event_id AS error_id, least(v.stop, x.stop) - greatest(v.us, x.us) AS shared
 FROM v JOIN x ON v.user_id = x.user_id AND v.us < x.stop AND x.us < v.stop AND v.us < v.stop AND x.us < x.stop""",
+    "agg_grouping_sets": _totals('GROUPING SETS ((kind, "day"), ("hour"), ())'),
+    "agg_rollup": _totals('ROLLUP (kind, "day", "hour")'),
+    "agg_cube": _totals('CUBE (kind, "day", "hour")'),
+    "window_running": f"""
+WITH {_EVENTS}
+SELECT event_id, user_id, row_number() OVER w AS nth, CAST(sum(cents) OVER w AS bigint) AS running_cents
+FROM e WINDOW w AS (PARTITION BY user_id ORDER BY us, event_id ROWS UNBOUNDED PRECEDING)""",
+    "window_trailing_rows": _frame(
+        "n_last sum_last max_last", f"us, event_id ROWS BETWEEN {FRAME_ROWS - 1} PRECEDING AND CURRENT ROW"
+    ),
+    "window_trailing_range": _frame(
+        "n_day sum_day max_day", "us RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW"
+    ),
+    "json_props": """
+WITH x AS (
+  SELECT event_id, CASE event_id % 10 WHEN 1 THEN substr(props, 1, length(props) - 1) WHEN 2 THEN replace(props, ': ', ': "x')
+    WHEN 3 THEN '{"k": "word"}' WHEN 4 THEN '{"other": [1, 2]}' WHEN 5 THEN '' WHEN 6 THEN NULL ELSE props END AS props
+  FROM events)
+SELECT event_id, CASE WHEN json_valid(props) AND event_id % 10 <> 3 THEN CAST(json_extract_string(props, '$.k') AS bigint) END AS k,
+  event_id % 10 NOT IN (5, 6) AS is_read, CASE WHEN event_id % 10 IN (1, 2, 3, 5) THEN props END AS rejected
+FROM x""",
 }

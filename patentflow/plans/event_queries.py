@@ -1,11 +1,15 @@
-"""Registered queries over time: streams, sessions, as-of and interval joins, archives as they arrive."""
+"""Registered queries over events: streams, sessions, as-of and interval joins, frames, totals, JSON; archives as they
+arrive."""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from patentflow.operators.asof import asof_join, position
+from patentflow.functions import props
+from patentflow.operators import frames, totals
+from patentflow.operators.asof import DAY, asof_join, position
 from patentflow.operators.intervals import interval_join
 from patentflow.operators.sessions import sessions
 from patentflow.plans import corpus
@@ -22,6 +26,8 @@ LATE, GAP_HOURS, HOUR = "2 days", 6, 3_600_000_000
 DELIVERIES, DELAYED_PARTS, DELAYED_PART = 3, 50, 7
 # Of 20 events one is delivered twice, and again with the delivery after its own.
 REPEATED_PARTS, REPEATED_PART = 20, 3
+FRAME_ROWS = 5
+PROPS = T.StructType([T.StructField("k", T.LongType())])
 
 
 def query(build: Query) -> Query:
@@ -164,3 +170,73 @@ def join_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = interval_join(views, errors, ["user_id"], ("view_start", "view_end"), ("error_start", "error_end"))
     shared = F.least("view_end", "error_end") - F.greatest("view_start", "error_start")
     return pairs.select("user_id", "view_id", "error_id", shared.alias("shared"))
+
+
+def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose kind is a genuine NULL for errors, with their day and the hour of the day."""
+    rows = events(spark, sf_dir)
+    utc = F.to_utc_timestamp("ts", F.current_timezone())
+    kind = F.nullif("event_type", F.lit("error")).alias("kind")
+    return rows.select(kind, F.dayofmonth(utc).alias("day"), F.hour(utc).alias("hour"), "cents")
+
+
+@query
+def agg_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by kind and day, by hour, and of all; `level` tells a missing kind from one that is summed over."""
+    sets = [["kind", "day"], ["hour"], []]
+    return totals.grouped_totals(_dated(spark, sf_dir), ["kind", "day", "hour"], sets, ["cents"])
+
+
+@query
+def agg_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["kind", "day", "hour"]
+    return totals.grouped_totals(_dated(spark, sf_dir), keys, totals.rollup_sets(keys), ["cents"])
+
+
+@query
+def agg_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["kind", "day", "hour"]
+    return totals.grouped_totals(_dated(spark, sf_dir), keys, totals.cube_sets(keys), ["cents"])
+
+
+@query
+def window_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with its number among the user's and what the user has spent up to it."""
+    rows = events(spark, sf_dir).select("event_id", "user_id", "ts", "cents")
+    found = frames.running_totals(rows, ["user_id"], "ts", ["event_id"], ["cents"])
+    return found.select("event_id", "user_id", "nth", "running_cents")
+
+
+@query
+def window_trailing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum, largest value and number of each event and the user's four before it."""
+    rows = events(spark, sf_dir).select("event_id", "user_id", "ts", "cents")
+    numbered = frames.running_totals(rows, ["user_id"], "ts", ["event_id"], [])
+    wanted = {"n_last": F.count("*"), "sum_last": F.sum("cents"), "max_last": F.max("cents")}
+    found = frames.trailing_rows(numbered, ["user_id"], FRAME_ROWS, wanted)
+    return found.select("event_id", "user_id", *wanted)
+
+
+@query
+def window_trailing_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of each event and the user's of the 24 hours before it."""
+    rows = events(spark, sf_dir).select("event_id", "user_id", "ts", "cents")
+    wanted = {"n_day": F.count("*"), "sum_day": F.sum("cents"), "max_day": F.max("cents")}
+    found = frames.trailing_range(rows, ["user_id"], "ts", DAY * 1_000_000, wanted)
+    return found.select("event_id", "user_id", *wanted)
+
+
+@query
+def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The properties of all events as columns; some are cut, of another type, of no object, or NULL."""
+    kind = F.col("event_id") % 10
+    spoilt = (
+        F.when(kind == 1, F.substring("props", F.lit(1), F.length("props") - 1))
+        .when(kind == 2, F.replace("props", F.lit(": "), F.lit(': "x')).cast("string"))
+        .when(kind == 3, F.lit('{"k": "word"}'))
+        .when(kind == 4, F.lit('{"other": [1, 2]}'))
+        .when(kind == 5, F.lit(""))
+        .when(kind != 6, F.col("props"))
+    )
+    read = props.with_parsed(events(spark, sf_dir).withColumn("props", spoilt), "props", PROPS)
+    return read.select("event_id", F.col("parsed.k").alias("k"), F.col("parsed").isNotNull().alias("is_read"), props.REJECTED)

@@ -144,6 +144,14 @@ _BODIES = {
         SELECT count(*) AS n_docs,
           count(*) FILTER (base_name IN (SELECT base_name FROM known)) AS n_positive,
           count(*) FILTER (base_name NOT IN (SELECT base_name FROM known)) AS n_other FROM named""",
+    "agg_sketch_merge": """
+        SELECT folder, count(*) AS n_words, count(DISTINCT word) AS exact, true AS is_close, true AS is_same FROM (
+          SELECT unnest([split_part(file_name, '/', 1), 'all']) AS folder, word
+          FROM (SELECT file_name, unnest(tokens) AS word FROM tokens)) GROUP BY folder""",
+    "agg_sketch_topk": """
+        SELECT word, count(*) AS n, true AS is_close FROM (SELECT unnest(tokens) AS word FROM tokens)
+        GROUP BY word ORDER BY n DESC, word LIMIT 20""",
+    "sink_count_map": "SELECT word, n FROM counts WHERE word <> '' ORDER BY n DESC, word LIMIT 1000",
     "src_filelist_parse": """
         SELECT base_name, true AS kept FROM named UNION ALL SELECT url, false FROM pages""",
     "join_semi_positive": "SELECT file_name, raw_txt FROM positives",

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patentflow import sinks
-from patentflow.functions import ipc, markup, text
-from patentflow.operators import labeling, model, patents, wordcount
+from patentflow.functions import ipc, markup, props, text
+from patentflow.operators import labeling, model, patents, sketches, wordcount
 from patentflow.operators.dictionary import dictionary_of, encode_features, fit_dictionaries
 from patentflow.plans import corpus
 from patentflow.plans.event_queries import QUERIES as EVENT_QUERIES
@@ -177,6 +177,44 @@ def agg_count_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordcount.merge_counts(partial)
 
 
+@query
+def agg_sketch_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of the words of each source, stored and merged: the exact numbers of words, and whether the estimated
+    numbers of distinct ones are within four standard errors of the exact ones and the merged sketch tells what one
+    of all words tells."""
+    folder = F.split_part("file_name", F.lit("/"), F.lit(1)).alias("folder")
+    rows = _english(spark, sf_dir).select(folder, F.explode(text.tokens(wordcount.counted_text())).alias("word"))
+    words = stage(rows)
+    stored = stage(sketches.word_sketches(words, "folder"))
+    merged = sketches.merge_sketches(stored).withColumn("folder", F.lit("all"))
+    estimates = stored.select("folder", "n_words", "distinct_words").unionByName(merged.drop("frequent_words"))
+    found = sketches.distinct_estimate(estimates, "folder")
+    exact = words.groupBy("folder").agg(F.countDistinct("word").alias("exact"))
+    exact = exact.unionByName(words.agg(F.countDistinct("word").alias("exact")).withColumn("folder", F.lit("all")))
+    whole = sketches.distinct_estimate(sketches.word_sketches(words))
+    whole = whole.select(F.lit("all").alias("folder"), F.col("n_distinct").alias("of_all"))
+    error = 4 * 1.04 / 2 ** (sketches.LOG_REGISTERS / 2)
+    both = found.join(exact, "folder").join(whole, "folder", "left")
+    is_close = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), error * F.col("exact"))
+    # Merging may round otherwise, by far less than the error.
+    is_same = (F.col("folder") != "all") | (F.abs(F.col("n_distinct") - F.col("of_all")) <= 0.01 * F.col("of_all"))
+    return both.select("folder", "n_words", "exact", is_close.alias("is_close"), is_same.alias("is_same"))
+
+
+@query
+def agg_sketch_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent words, and whether merged sketches hold each with a count that is off by the bound at most."""
+    folder = F.split_part("file_name", F.lit("/"), F.lit(1)).alias("folder")
+    rows = _english(spark, sf_dir).select(folder, F.explode(text.tokens(wordcount.counted_text())).alias("word"))
+    words = stage(rows)
+    merged = sketches.merge_sketches(stage(sketches.word_sketches(words, "folder")))
+    held = sketches.frequent_estimate(merged, 50 * FEW_NEGATIVES, "n_words").withColumnRenamed("n", "estimated")
+    exact = words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(FEW_NEGATIVES)
+    off = F.abs(F.col("estimated") - F.col("n"))
+    is_close = F.coalesce(off <= 4 * F.col("n_words") / sketches.TRACKED, F.lit(False))
+    return exact.join(held, "word", "left").select("word", "n", is_close.alias("is_close"))
+
+
 @query
 def agg_word_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordcount.top_words(wordcount.count_words(_english(spark, sf_dir)))
@@ -480,3 +518,12 @@ def sink_wordcount_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)
     sinks.write_counts(wordcount.count_words(_english(spark, sf_dir)), path)
     return tables.read_counts(spark, path)
+
+
+@query
+def sink_count_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent words as one JSON object in a file, and read again."""
+    path = scratch_dir(spark)
+    sinks.write_counts_map(wordcount.top_words(wordcount.count_words(_english(spark, sf_dir))), path)
+    read = spark.read.text(path)
+    return read.select(F.explode(F.from_json("value", "map<string,bigint>")).alias("word", "n"))

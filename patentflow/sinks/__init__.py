@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patentflow.functions import text
+from patentflow.functions import props, text
 from patentflow.storage import remove, swap_in
 
 # Fixed value: bound on rows per part where one is wanted.
@@ -63,3 +63,8 @@ def write_counts(counts: DataFrame, path: str) -> None:
 def write_counts_json(counts: DataFrame, path: str) -> None:
     """Word counts as JSON lines."""
     counts.write.mode("overwrite").json(path)
+
+
+def write_counts_map(top: DataFrame, path: str) -> None:
+    """A bounded table of word counts as one JSON object."""
+    top.agg(props.map_of(F.col("word"), F.col("n")).alias("value")).coalesce(1).write.mode("overwrite").text(path)
