@@ -3,10 +3,10 @@
 import codecs
 import heapq
 import json
+import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +18,16 @@ from pyspark.sql import functions as F
 # starts like one can match there.
 PIECES = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 GROUP = 4096
-CACHED_PIECES, CACHED_CHARS = 1 << 18, 64
+CACHED_CHUNKS, CACHED_CHARS = 1 << 18, 64
 BATCH_TOKENS = 1 << 20
 
+# No piece goes on from a character other than white space into white space, or from a letter into ASCII punctuation.
+# A chunk is a run of Latin letters if white space, ASCII punctuation or the end follows, else all up to white space.
+CHUNKS = re.compile(r"\s*+[A-Za-zÀ-ÖØ-öø-ɏ]++(?=[ \t\n\r!-/:-@\[-`{-~]|\Z)|\s*\S+|\s+")
+BORDER, STRETCH_CHARS = re.compile(r"(?<=\S)[ \t\n\r]"), 1 << 16
+# Separators that are white space for Python, but not for tokenizers.
+ODD = re.compile("[\x1c-\x1f]")
+
 
 def byte_letters() -> dict[str, int]:
     """The letters that stand for bytes in vocabulary files: printable bytes are themselves, the others
@@ -60,44 +67,64 @@ class Vocabulary:
         return cls(token_bytes, byte_ids, [(ids[a], ids[b], ids[a + b]) for a, b in pairs], special)
 
 
-def sufficient_lookahead(vocabulary: Vocabulary) -> int:
+def chunks(text: str) -> Iterator[list[str]]:
+    """A text in chunks that no piece crosses, those of a bounded stretch at a time. The same chunks recur more often
+    than texts do, and cutting into them is cheaper than into pieces."""
+    if ODD.search(text):
+        yield [text]
+        return
+    at = 0
+    while at < len(text):
+        border = BORDER.search(text, at + STRETCH_CHARS)
+        end = border.start() if border else len(text)
+        yield CHUNKS.findall(text, at, end)
+        at = end
+
+
+def sufficient_lookahead(vocabulary: Vocabulary) -> int | None:
     """Bytes behind a token boundary that can still move it, from the merge list alone.
 
-    Let reach(t) be how many bytes behind token t may decide whether t forms. A merge of a and b needs
-    that b forms, that nothing took b away before (a merge of b with some z, of smaller rank, that itself
-    forms: the length of z plus its reach), and the same for a, whose end is the length of b earlier.
-    Parts have smaller ranks than what they form, so one pass over the merges in order of rank finds all
-    reaches. A boundary behind t is final once all merges of t with something behind it are decided,
-    whatever their rank.
+    Let reach(t) be how many bytes behind token t may decide whether t forms, and taken(t) how many may decide
+    whether something behind t has taken it away. A merge of a and b depends on whether b forms and is still
+    there, on reach(b) and taken(b) bytes behind b, and on the same for a, whose end is the length of b
+    earlier. Whether a is taken away then depends on all these, from its own end. Where every token is formed by one
+    merge, after its parts, merges happen in order of rank, and one pass over them in this order finds all. A boundary
+    behind t is final once all merges of t with something behind it are decided, whatever their rank.
+
+    None for lists where a token is formed twice or before its parts are: nothing is final there before the end.
     """
     length = [len(token) for token in vocabulary.token_bytes]
     reach, taken = [0] * len(length), [0] * len(length)
+    formed = set(vocabulary.byte_ids)
     for a, b, merged in vocabulary.merges:
+        if merged in formed or a not in formed or b not in formed:
+            return None
+        formed.add(merged)
         before = max(reach[b], taken[b], max(reach[a], taken[a]) - length[b], 0)
-        reach[merged] = max(reach[merged], before)
-        taken[a] = max(taken[a], length[b] + reach[b])
+        reach[merged] = before
+        taken[a] = max(taken[a], length[b] + before)
     return max(max(reach), max(taken))
 
 
 class Encoder:
     """Text to ids, in memory that does not grow with the text.
 
-    Pieces are read from the text one by one. Long pieces go through a buffer: what lies further than the
-    lookahead before its end is final and leaves it, so the buffer holds a chunk and the lookahead. Short
-    pieces are remembered, up to a bound.
+    Pieces are read from the text one by one and go through a buffer: what lies further than the lookahead before its
+    end is final and leaves it, so the buffer holds `chunk` bytes and the lookahead. The end of a piece makes the rest
+    final. What came out for short chunks of text is remembered, up to a bound.
     """
 
     def __init__(self, vocabulary: Vocabulary, chunk: int = 1024):
+        self.chunk = chunk
         self.byte_ids = vocabulary.byte_ids
         self.length = [len(token) for token in vocabulary.token_bytes]
         self.ranks = {(a, b): rank for rank, (a, b, _) in enumerate(vocabulary.merges)}
         self.results = [merged for _, _, merged in vocabulary.merges]
         self.lookahead = sufficient_lookahead(vocabulary)
-        self.chunk = chunk
         self.special = vocabulary.special
         self.split = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.pieces = regex.compile(PIECES)
-        self.cache = _Pieces(self)
+        self.cache = Remembered(self.chunk_ids)
 
     def merged(self, data: bytes) -> list[int]:
         """Merge by rank, leftmost first, until nothing merges."""
@@ -141,7 +168,7 @@ class Encoder:
     def stream(self, data: bytes) -> Iterator[list[int]]:
         """Ids of one piece as they become final."""
         start = 0
-        size = self.chunk + self.lookahead
+        size = len(data) if self.lookahead is None else self.chunk + self.lookahead
         while len(data) - start > size:
             end = start + size
             final = []
@@ -157,12 +184,13 @@ class Encoder:
                 yield final
         yield self.merged(data[start:])
 
-    def piece(self, text: str) -> bytes:
-        """Ids of a piece as 32-bit numbers."""
-        data = text.encode("utf-8", "surrogatepass")
-        if len(data) <= self.chunk + self.lookahead:
-            return array("i", self.merged(data)).tobytes()
-        return b"".join(array("i", final).tobytes() for final in self.stream(data))
+    def chunk_ids(self, text: str) -> bytes:
+        """Ids of the pieces of a chunk, as 32-bit numbers."""
+        found = array("i")
+        for piece in self.pieces.finditer(text):
+            for final in self.stream(piece.group().encode("utf-8", "surrogatepass")):
+                found.extend(final)
+        return found.tobytes()
 
     def encode(self, text: str | None) -> Iterator[bytes]:
         """Groups of ids of a text, as 32-bit numbers; strings of special tokens become their ids."""
@@ -180,21 +208,25 @@ class Encoder:
     def _plain(self, text: str, start: int, end: int) -> Iterator[bytes]:
         # Special strings bound what a piece may look ahead to, so the part is cut out before it is searched.
         part = text if (start, end) == (0, len(text)) else text[start:end]
-        found = self.pieces.finditer(part)
-        while group := [match.group() for match in islice(found, GROUP)]:
+        for group in chunks(part):
             yield b"".join(map(self.cache.__getitem__, group))
 
 
-class _Pieces(dict):
-    """Ids of short pieces that were met, forgotten when there are too many."""
+class Remembered(dict):
+    """Ids of short chunks that were met lately. When there are too many, those not met again since the last time
+    that happened are forgotten."""
 
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
+    def __init__(self, encode: Callable[[str], bytes]):
+        self.encode = encode
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, text: str) -> bytes:
-        ids = self.encoder.piece(text)
+        ids = self.older.pop(text, None)
+        if ids is None:
+            ids = self.encode(text)
         if len(text) <= CACHED_CHARS:
-            if len(self) >= CACHED_PIECES:
+            if len(self) >= CACHED_CHUNKS:
+                self.older = dict(self)
                 self.clear()
             self[text] = ids
         return ids
@@ -211,6 +243,13 @@ def decode(token_bytes: list[bytes], ids: list[int]) -> str:
     return "".join(parts)
 
 
+def worker_encoder(shipped: dict) -> Encoder:
+    """The encoder of a broadcast vocabulary, kept beside it for later tasks of the same Python worker."""
+    if "encoder" not in shipped:
+        shipped["encoder"] = Encoder(Vocabulary(**shipped))
+    return shipped["encoder"]
+
+
 def encode_documents(
     docs: DataFrame, vocabulary: Vocabulary, keep: list[str], text_col: str = "text", decoded: bool = False
 ) -> DataFrame:
@@ -222,7 +261,7 @@ def encode_documents(
     shipped = SparkSession.active().sparkContext.broadcast(vars(vocabulary))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, token_bytes = Encoder(Vocabulary(**shipped.value)), shipped.value["token_bytes"]
+        encoder, token_bytes = worker_encoder(shipped.value), shipped.value["token_bytes"]
 
         def columns(found: list[np.ndarray]) -> dict[str, pa.Array]:
             both = {"ids": _id_lists(found)}
