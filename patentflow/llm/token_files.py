@@ -20,7 +20,7 @@ import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 from urllib.parse import quote
 
@@ -33,17 +33,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 from tokenizers import Tokenizer
 
-from patentflow.llm.bpe import byte_letters
+from patentflow.llm.bpe import Remembered, byte_letters, chunks
 from patentflow.storage import stage
 
 MAGIC = b"TOKPFOR1"
 HEADER, BLOCK, TRAILER = "<8sII", "<IHHB3x", "<QQQQII8s"
 HEADER_BYTES, BLOCK_BYTES, TRAILER_BYTES = map(struct.calcsize, (HEADER, BLOCK, TRAILER))
 BLOCK_IDS, PERCENTILE = 1024, 95
-FLUSH_IDS, STRETCH_CHARS = 64 * BLOCK_IDS, 1 << 16
+FLUSH_IDS = 64 * BLOCK_IDS
 FILE_IDS, FILE_DOCS = 1 << 24, 1 << 18
 TASKS_PER_CORE = 8
-CACHED_CHUNKS, CACHED_CHARS = 1 << 18, 64
 
 FILES = pa.schema(
     [("part", pa.int32()), ("nth", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]
@@ -230,35 +229,21 @@ class FileReader:
 class ChunkEncoder:
     """Ids of texts by the tokenizers library, which is asked once for chunks that recur.
 
-    A byte-level tokenizer cuts texts into pieces it encodes on their own. No piece goes on from a character
-    other than white space into white space, or from a letter into ASCII punctuation, so cutting a text there
-    changes no id. Tokenizers that are not known to cut there, and texts with separators that are white space
-    for Python only, are encoded whole. Broadcast, an encoder keeps what it has met for later tasks of a worker.
+    A byte-level tokenizer cuts texts into pieces it encodes on their own, and no piece crosses the chunks of
+    `patentflow.llm.bpe`, so cutting a text there changes no id. Tokenizers that are not known to cut there get
+    whole texts.
     """
 
-    ODD = re.compile("[\x1c-\x1f]")
-    # A run of Latin letters if white space, ASCII punctuation or the end follows; else all up to white space.
-    CHUNKS = re.compile(r"\s*+[A-Za-zÀ-ÖØ-öø-ɏ]++(?=[ \t\n\r!-/:-@\[-`{-~]|\Z)|\s*\S+|\s+")
-    # Such a chunk is one piece, which the library's model takes as it is, byte by byte in its own letters.
+    # A chunk that is one piece, which the library's model takes as it is, byte by byte in its own letters.
     PIECE = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
-    BORDER = re.compile(r"(?<=\S)[ \t\n\r]")
 
     def __init__(self, tokenizer_json: str):
-        self.tokenizer_json = tokenizer_json
-        self.tokenizer = None
-
-    def __getstate__(self) -> dict:
-        return {"tokenizer_json": self.tokenizer_json, "tokenizer": None}
-
-    def open(self) -> "ChunkEncoder":
-        if self.tokenizer is None:
-            self.tokenizer = Tokenizer.from_str(self.tokenizer_json)
-            self.tokenizer.no_padding()
-            self.tokenizer.no_truncation()
-            self.cuts = _cuts_at_spaces(json.loads(self.tokenizer_json))
-            self.model, self.letters = self.tokenizer.model, {byte: letter for letter, byte in byte_letters().items()}
-            self.cache = _Chunks(self.chunk)
-        return self
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.cuts = _cuts_at_spaces(json.loads(tokenizer_json))
+        self.model, self.letters = self.tokenizer.model, {byte: letter for letter, byte in byte_letters().items()}
+        self.cache = Remembered(self.chunk)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -271,36 +256,18 @@ class ChunkEncoder:
 
     def parts(self, text: str | None) -> Iterator[np.ndarray]:
         """The ids of a text; those of a long one stretch by stretch."""
-        if text and (not self.cuts or self.ODD.search(text)):
-            yield np.frombuffer(self.whole(text), dtype="<u4")
+        if not self.cuts:
+            yield np.frombuffer(self.whole(text), dtype="<u4") if text else np.empty(0, dtype="<u4")
             return
-        at, text = 0, text or ""
-        while at < len(text):
-            border = self.BORDER.search(text, at + STRETCH_CHARS)
-            end = border.start() if border else len(text)
-            chunks = self.CHUNKS.findall(text, at, end)
-            yield np.frombuffer(b"".join(map(self.cache.__getitem__, chunks)), dtype="<u4")
-            at = end
-
-
-class _Chunks(dict):
-    """Ids of short chunks that were met lately. When there are too many, those not met again since the last time
-    that happened are forgotten."""
+        for group in chunks(text or ""):
+            yield np.frombuffer(b"".join(map(self.cache.__getitem__, group)), dtype="<u4")
 
-    def __init__(self, encode: Callable[[str], bytes]):
-        self.encode = encode
-        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, text: str) -> bytes:
-        ids = self.older.pop(text, None)
-        if ids is None:
-            ids = self.encode(text)
-        if len(text) <= CACHED_CHARS:
-            if len(self) >= CACHED_CHUNKS:
-                self.older = dict(self)
-                self.clear()
-            self[text] = ids
-        return ids
+def worker_encoder(shipped: dict) -> ChunkEncoder:
+    """The encoder of a broadcast tokenizer, kept beside it for later tasks of the same Python worker."""
+    if "encoder" not in shipped:
+        shipped["encoder"] = ChunkEncoder(shipped["tokenizer"])
+    return shipped["encoder"]
 
 
 def _cuts_at_spaces(content: dict) -> bool:
@@ -353,11 +320,11 @@ def write_token_files(
     """
     spark = docs.sparkSession
     target = qualified(spark, f"{folder}/data")
-    shipped = spark.sparkContext.broadcast(ChunkEncoder(tokenizer_json))
+    shipped = spark.sparkContext.broadcast({"tokenizer": tokenizer_json})
     ends = [] if end_id is None else [np.array([end_id], dtype="<u4")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, nth, writer = shipped.value.open(), TaskContext.get().partitionId(), 0, None
+        encoder, part, nth, writer = worker_encoder(shipped.value), TaskContext.get().partitionId(), 0, None
 
         def closed() -> pa.RecordBatch:
             writer.close()
