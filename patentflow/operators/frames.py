@@ -17,31 +17,32 @@ def running_totals(
     NULL values of `by` are one key; NULL times come first. Rows that agree in the whole order are numbered in any
     order. NULL summands count as nothing, up to the first other one the sum is NULL.
 
-    Rows are numbered within (by, `bucket` microseconds or units of `on`); what the buckets before hold is a
-    running total of one row a bucket. So the rows of one key are spread over time.
+    Rows are dealt by (by, `bucket` microseconds or units of `on`), so the rows of one key are spread over time. What
+    the buckets before hold is a running total of one row a bucket, which goes ahead of the bucket's own rows; they
+    are shuffled once and joined with nothing.
     """
-    at = F.floor(position(on, rows) / bucket).cast("bigint")
-    placed = rows.withColumn("bucket_", at)
-    inside = Window.partitionBy(*by, "bucket_").orderBy(on, *tie).rowsBetween(Window.unboundedPreceding, 0)
-    counted = placed.withColumn("nth_", F.count(F.lit(1)).over(inside))
-    counted = counted.withColumns({f"running_{name}": F.sum(name).over(inside) for name in sums})
-
-    whole = [F.count(F.lit(1)).alias("n_"), *[F.sum(name).alias(f"{name}_") for name in sums]]
-    buckets = placed.groupBy(*by, "bucket_").agg(*whole)
-    earlier = Window.partitionBy(*by).orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1)
-    before = [F.sum(name).over(earlier).alias(f"before_{name}") for name in ("n_", *[f"{name}_" for name in sums])]
-    keys = [F.col(name).alias(f"by_{i}") for i, name in enumerate(by)]
-    starts = buckets.select(*keys, F.col("bucket_").alias("at_"), *before)
-    same = F.col("bucket_").eqNullSafe(F.col("at_"))
-    for i, name in enumerate(by):
-        same = same & F.col(name).eqNullSafe(F.col(f"by_{i}"))
-    joined = counted.join(starts, same, "left")
-    totals = {"nth": F.col("nth_") + F.coalesce("before_n_", F.lit(0))}
-    for name in sums:
-        both = F.col(f"before_{name}_").isNotNull() | F.col(f"running_{name}").isNotNull()
-        total = F.coalesce(F.col(f"before_{name}_"), F.lit(0)) + F.coalesce(F.col(f"running_{name}"), F.lit(0))
-        totals[f"running_{name}"] = F.when(both, total)
-    return joined.select(*rows.columns, *[total.alias(name) for name, total in totals.items()])
+    keys = [f"by_{i}" for i in range(len(by))]
+    order = [f"order_{i}" for i in range(1 + len(tie))]
+    amounts = [f"sum_{i}" for i in range(len(sums))]
+    bucketed = rows.select(
+        *[F.col(name).alias(key) for name, key in zip(by, keys)],
+        F.floor(position(on, rows) / bucket).cast("bigint").alias("bucket"),
+        *[F.col(name).alias(place) for name, place in zip([on, *tie], order)],
+        F.lit(1).cast("bigint").alias("n"),
+        *[F.col(name).alias(amount) for name, amount in zip(sums, amounts)],
+        F.struct(*rows.columns).alias("row"),
+    )
+    counted = ["n", *amounts]
+    buckets = bucketed.groupBy(*keys, "bucket").agg(*[F.sum(name).alias(name) for name in counted])
+    earlier = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = buckets.select(*keys, "bucket", *[F.sum(name).over(earlier).alias(name) for name in counted])
+    both = bucketed.unionByName(starts.where("n IS NOT NULL"), allowMissingColumns=True)
+    is_start = F.col("row").isNull()
+    inside = Window.partitionBy(*keys, "bucket").orderBy(is_start.desc(), *order)
+    inside = inside.rowsBetween(Window.unboundedPreceding, 0)
+    totals = {"nth": "n"} | {f"running_{name}": amount for name, amount in zip(sums, amounts)}
+    found = both.select("row", *[F.sum(column).over(inside).alias(name) for name, column in totals.items()])
+    return found.where(F.col("row").isNotNull()).select("row.*", *totals)
 
 
 def trailing_rows(numbered: DataFrame, by: list[str], n_rows: int, totals: dict[str, Column]) -> DataFrame:
