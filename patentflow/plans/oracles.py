@@ -180,6 +180,7 @@ _BODIES = {
     "proj_row_id": "SELECT count(*) AS n_rows, count(*) AS n_ids FROM documents",
     "src_archive_unpack": "SELECT file_name, raw_txt FROM patents",
     "src_archive_errors": "SELECT 'text-' || doc_id AS archive FROM documents",
+    "src_archive_format": "SELECT file_name, raw_txt FROM patents",
     "src_archive_files": "SELECT file_name, raw_txt FROM patents",
     "src_archive_damage": """
         SELECT doc_id, CAST([1, 1, 2, 2, 0, 3][doc_id % 6 + 1] AS bigint) AS n_members,

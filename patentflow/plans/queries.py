@@ -15,7 +15,7 @@ from patentflow.plans import corpus
 from patentflow.plans.event_queries import QUERIES as EVENT_QUERIES
 from patentflow.plans.jobs import fit_classifier
 from patentflow.schemas import ARCHIVE_BLOBS, CODE_LISTS, TRAIN_COLS
-from patentflow.sources import archives, tables
+from patentflow.sources import archives, datasource, tables
 from patentflow.storage import scratch_dir, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -439,6 +439,18 @@ def src_archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.documents(archives.read_archives(spark, folder, block_bytes=100_000))
 
 
+@query
+def src_archive_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same archives as a format of the reader; the first of each task through a filter that reaches it."""
+    folder = scratch_dir(spark)
+    corpus.write_archives(corpus.packed(corpus.patents(spark, sf_dir)), folder)
+    datasource.register(spark)
+    read = spark.read.format("tar").option("blockBytes", 100_000).load(folder)
+    is_first = F.endswith("archive", F.lit("-0.tar"))
+    even, others = read.where(is_first), read.where(~is_first)
+    return archives.documents(even.unionByName(others))
+
+
 @query
 def src_archive_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of archives on disk that are spoilt in five ways, and that each is reported."""

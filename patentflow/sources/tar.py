@@ -170,6 +170,43 @@ def files(archive, stream, stop=None):
         yield archive, None, None, f"{type(error).__name__}: {error}"
 
 
+def files_between(archive, stream, start, stop):
+    """The rows of `files` for the members whose headers lie in a range of a plain archive, and for damage there.
+
+    Every member border before the range is found by walking the headers from the start of the archive: 512 bytes
+    are read a member, contents are passed over. No stop is the end of the archive.
+    """
+    size, member = stream.size(), None
+    stream.seek(0)
+    try:
+        plain = tarfile.open(fileobj=stream, mode="r:", tarinfo=Header)
+        for member in members(plain):
+            if stop is not None and member.offset >= stop:
+                return
+            if member.offset < start:
+                continue
+            if member.isreg() and member.size > MEMBER_BYTES:
+                yield archive, None, None, f"{member.name}: {member.size} bytes are too many"
+            elif member.isreg():
+                content = plain.extractfile(member).read()
+                yield archive, member.name, content.decode("utf-8", "replace"), None
+        if plain.offset < start or (stop is not None and plain.offset >= stop):
+            return
+        stream.seek(plain.offset)
+        while rest := stream.read(BUFFER_BYTES):
+            if rest.count(0) != len(rest):
+                raise tarfile.ReadError("data follows the end of the archive")
+    except (*DAMAGED, OSError) as error:
+        if not is_damage(error):
+            raise
+        # Damage belongs to the range of the member that is cut, else to that of the header that is broken.
+        at = plain.offset
+        if member is not None and member.offset_data + member.size > size:
+            at = member.offset
+        if at >= start and (stop is None or at < stop):
+            yield archive, None, None, f"{type(error).__name__}: {error}"
+
+
 def to_batches(rows):
     """Arrow batches of bounded size."""
     held, size = [], 0
