@@ -3,9 +3,12 @@
 import argparse
 from datetime import date
 
+from pyspark.sql import SparkSession
+
 from patentflow.operators.labeling import MAX_NEGATIVES
 from patentflow.plans import jobs
 from patentflow.session import build_session
+from patentflow.storage import remove_scratch
 from patentflow.streaming.archives import ingest_archives
 
 
@@ -53,6 +56,13 @@ def arguments() -> argparse.Namespace:
 def main() -> None:
     given = arguments()
     spark = build_session()
+    try:
+        run(spark, given)
+    finally:
+        remove_scratch(spark)
+
+
+def run(spark: SparkSession, given: argparse.Namespace) -> None:
     if given.command == "extract":
         damaged = jobs.extract_job(spark, given.archives, given.out, given.glob, given.max_rows)
         print({"damaged": damaged})

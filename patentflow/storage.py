@@ -5,12 +5,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder name below the shared folder the session names in spark.checkpoint.dir."""
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application below the shared one the session names in spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{root.rstrip('/')}/patentflow/{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/patentflow/{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder name below that of the application."""
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all that this application has staged below its folder; results that read it are lost."""
+    if spark.conf.get("spark.checkpoint.dir", None) is not None:
+        remove(spark, scratch_root(spark))
 
 
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -43,8 +54,12 @@ def swap_in(spark: SparkSession, written: str, folder: str) -> None:
     had_rows = files.exists(old)
     if had_rows and not files.rename(old, aside):
         raise OSError(f"{folder} cannot be renamed")
-    if not files.rename(new, old):
-        if had_rows:
+    moved = False
+    try:
+        moved = files.rename(new, old)
+    finally:
+        if had_rows and not moved:
             files.rename(aside, old)
+    if not moved:
         raise OSError(f"{written} cannot be renamed to {folder}")
     files.delete(aside, True)

@@ -20,7 +20,7 @@ from patentflow.plans import corpus
 from patentflow.plans.queries import QUERIES
 from patentflow.schemas import CODE_LISTS, DICTIONARIES, DOCUMENTS, TRAIN_COLS
 from patentflow.sources import tables
-from patentflow.storage import scratch_dir, stage
+from patentflow.storage import remove_scratch, scratch_dir, stage, swap_in
 
 
 def counts_of(df):
@@ -348,6 +348,20 @@ def test_scratch_lies_below_the_folder_of_the_session(spark):
     assert first.startswith(f"{root}/patentflow/") and first != second
 
 
+def test_scratch_of_an_application_is_removed_as_a_whole(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        kept = tmp_path / "patentflow" / "other"
+        kept.mkdir(parents=True)
+        stage(spark.range(3))
+        assert len(list((tmp_path / "patentflow").iterdir())) == 2
+        remove_scratch(spark)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+    assert list((tmp_path / "patentflow").iterdir()) == [kept]
+
+
 NATIVE = [
     "extract_patent",
     "ipc_feature_columns",
