@@ -6,7 +6,7 @@ import pytest
 from helpers import plan, rows, values
 from pyspark.sql import functions as F
 
-from patentflow import sinks
+from patentflow import sinks, storage
 from patentflow.functions import text
 from patentflow.operators import labeling, patents, wordcount
 from patentflow.operators.model import accuracy, fit_forest
@@ -348,18 +348,15 @@ def test_scratch_lies_below_the_folder_of_the_session(spark):
     assert first.startswith(f"{root}/patentflow/") and first != second
 
 
-def test_scratch_of_an_application_is_removed_as_a_whole(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        kept = tmp_path / "patentflow" / "other"
-        kept.mkdir(parents=True)
-        stage(spark.range(3))
-        assert len(list((tmp_path / "patentflow").iterdir())) == 2
-        remove_scratch(spark)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
-    assert list((tmp_path / "patentflow").iterdir()) == [kept]
+def test_scratch_of_an_application_is_removed_as_a_whole(spark, tmp_path, monkeypatch):
+    own = tmp_path / "patentflow" / spark.sparkContext.applicationId
+    assert f"/patentflow/{own.name}/" in scratch_dir(spark)
+    monkeypatch.setattr(storage, "scratch_root", lambda session: str(own))
+    (tmp_path / "patentflow" / "other").mkdir(parents=True)
+    stage(spark.range(3))
+    assert own.exists()
+    remove_scratch(spark)
+    assert [p.name for p in (tmp_path / "patentflow").iterdir()] == ["other"]
 
 
 NATIVE = [
