@@ -1,11 +1,16 @@
-"""Tar archives as a format of Spark's reader: `spark.read.format("tar").load(folder)`."""
+"""Tar archives as a format of Spark's reader: `spark.read.format("tar").load(folder)`.
 
+The classes travel to the processes that plan and read by value, so the package need not be installed there.
+"""
+
+import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from fnmatch import fnmatch
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
     ColumnPath,
@@ -21,8 +26,10 @@ from pyspark.sql.datasource import (
 )
 
 from patentflow.schemas import UNPACKED
-from patentflow.sources import tar
 from patentflow.sources.archives import BLOCK_BYTES
+from patentflow.sources.tar import files, files_between, is_cuttable, open_path, open_raw, to_batches
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ARCHIVE: ColumnPath = ("archive",)
 
@@ -103,19 +110,19 @@ class TarReader(DataSourceReader):
     def _pieces(self, path: str, size: int) -> Iterator[Piece]:
         starts = [0]
         if size > self.block_bytes:
-            with tar.open_raw(path) as stream:
-                if tar.is_cuttable(stream):
+            with open_raw(path) as stream:
+                if is_cuttable(stream):
                     starts = list(range(0, size, self.block_bytes))
         yield from (Piece(path, start, stop) for start, stop in zip(starts, [*starts[1:], None]))
 
     def read(self, piece: Piece | None) -> Iterator[pa.RecordBatch]:
         """The rows of a range. Where no archive is chosen, Spark asks for the rows of none."""
-        return tar.to_batches(self._rows(piece) if piece else ())
+        return to_batches(self._rows(piece) if piece else ())
 
     def _rows(self, piece: Piece) -> Iterator[tuple]:
         if piece.start == 0 and piece.stop is None:
-            with tar.open_path(piece.path) as stream:
-                yield from tar.files(piece.path, stream)
+            with open_path(piece.path) as stream:
+                yield from files(piece.path, stream)
         else:
-            with tar.open_raw(piece.path) as stream:
-                yield from tar.files_between(piece.path, stream, piece.start, piece.stop)
+            with open_raw(piece.path) as stream:
+                yield from files_between(piece.path, stream, piece.start, piece.stop)
