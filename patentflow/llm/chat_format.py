@@ -8,9 +8,10 @@ LEARNED_ROLE = "assistant"
 # The grammar: a turn is a line break, "### role: body</turn>"; a conversation is its turns.
 OPENING, ROLE_END, CLOSING = "\n### ", ": ", "</turn>"
 
-# Escapes, in the order they are applied; they are read in reverse. An escaped string has no "<" and no ":",
-# and every backslash in it starts an escape, so reading one escape never makes another.
-ESCAPES = (("\\", "\\b"), ("<", "\\l"), (":", "\\c"))
+# Escapes, in the order they are applied; they are read in reverse. An escaped string has no "<", no ":" and no "#",
+# so none of the strings of the grammar, and every backslash in it starts an escape, so reading one escape never makes
+# another.
+ESCAPES = (("\\", "\\b"), ("<", "\\l"), (":", "\\c"), ("#", "\\h"))
 
 
 def escaped(text: Column) -> Column:
@@ -45,7 +46,7 @@ def parsed(formatted: Column) -> Column:
 def safe_turns(rows: DataFrame) -> DataFrame:
     """Add `safe_role` and `safe_text`: as they are if the turn alone reads back and opens once, else escaped.
 
-    An escaped turn has no colon of its own, so nothing in it reads as an opening with a role.
+    An escaped turn holds none of the strings of the grammar.
     """
     role, text = F.col("role"), F.col("text")
     source = F.array(F.struct(role.alias("role"), text.alias("text")))
@@ -81,8 +82,8 @@ def format_conversations(
 
     `formatted` is the text; `segments` are its pieces in order as (text, loss), true for the bodies of the
     learned role; `turns` are (role, text) parsed back from `formatted`. Turns that do not survive the
-    round trip by themselves or hold the opening string are escaped; a conversation whose parsed turns still differ from the source
-    is escaped as a whole, which always reads back.
+    round trip by themselves or hold the opening string are escaped; a conversation whose parsed turns still differ
+    from the source is escaped as a whole, which always reads back.
 
     NULL roles and texts are empty. Turns with equal numbers follow in order of role and text, NULL
     numbers come first, repeated rows are repeated turns, NULL conversation ids are one conversation. An

@@ -88,10 +88,11 @@ FROM placed
 
 
 def _escaped(column: str) -> str:
-    return rf"replace(replace(replace({column}, '\', '\b'), '<', '\l'), ':', '\c')"
+    return rf"replace(replace(replace(replace({column}, '\', '\b'), '<', '\l'), ':', '\c'), '#', '\h')"
 
 
-# A turn does not read back if it holds what ends a turn or a role, or what reads as an escape.
+# A turn does not read back if it holds what ends a turn or a role, or what reads as an escape; what opens a turn is
+# escaped as well.
 CHAT_FORMAT = rf"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -99,7 +100,8 @@ WITH rows AS (
   UNION ALL SELECT {CONTROL_CONVERSATION}, 1, 'assistant', '{CONTROL_TEXT}'),
 checked AS (
   SELECT *, contains(text, '</turn>') OR contains(role, '</turn>') OR contains(role, ': ')
-    OR regexp_matches(text, '\\[blc]') OR regexp_matches(role, '\\[blc]') AS is_odd
+    OR contains(text, chr(10) || '### ') OR contains(role, chr(10) || '### ')
+    OR regexp_matches(text, '\\[blch]') OR regexp_matches(role, '\\[blch]') AS is_odd
   FROM rows)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
