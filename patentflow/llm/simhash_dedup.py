@@ -1,6 +1,6 @@
 """Near-duplicate texts: SimHash fingerprints matched by Golay-code fuzzy hashing."""
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -48,13 +48,13 @@ def fingerprint_of(text: str | None, words: int = SHINGLE_WORDS, seed: int = SEE
     return int(bits.view("<i8")[0])
 
 
-def fingerprint(text: Column) -> Column:
+def fingerprint(text: Column, words: int = SHINGLE_WORDS) -> Column:
     """The fingerprint as a signed 64-bit number."""
 
     @F.pandas_udf(T.LongType())
     def simhash(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield pd.Series([fingerprint_of(text) for text in batch], dtype="int64")
+            yield pd.Series([fingerprint_of(text, words) for text in batch], dtype="int64")
 
     return simhash(text)
 
@@ -114,57 +114,74 @@ def _keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["rep", "print", "bucket"])
 
 
-def _compare(cell: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Edges of a forest over the fingerprints of a cell that differ in few bits."""
-    left, right = cell.column("left")[0].as_py(), cell.column("right")[0].as_py()
-    rep, side = (cell.column(name).to_numpy() for name in ("rep", "side"))
-    prints = cell.column("print").to_numpy().view(np.uint64)
-    lefts, rights = np.flatnonzero(side == left), np.flatnonzero(side == right)
-    stars = Stars(len(rep))
-    for start in range(0, len(lefts), 256):
-        rows = lefts[start : start + 256]
-        near = np.bitwise_count(prints[rows][:, None] ^ prints[rights][None, :]) <= MAX_BITS
-        i, j = np.nonzero(near)
-        stars.add(rows[i], rights[j])
-    rows, roots = stars.edges()
-    if len(rows):
-        yield pa.RecordBatch.from_arrays([pa.array(rep[rows]), pa.array(rep[roots])], names=["rep", "root"])
-
-
-def near_prints(rows: DataFrame) -> DataFrame:
+def _compare(max_bits: int) -> Callable[[pa.Table], Iterator[pa.RecordBatch]]:
+    def run(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Edges of a forest over the fingerprints of a cell that differ in few bits."""
+        left, right = cell.column("left")[0].as_py(), cell.column("right")[0].as_py()
+        rep, side = (cell.column(name).to_numpy() for name in ("rep", "side"))
+        prints = cell.column("print").to_numpy().view(np.uint64)
+        lefts, rights = np.flatnonzero(side == left), np.flatnonzero(side == right)
+        stars = Stars(len(rep))
+        for start in range(0, len(lefts), 256):
+            rows = lefts[start : start + 256]
+            near = np.bitwise_count(prints[rows][:, None] ^ prints[rights][None, :]) <= max_bits
+            i, j = np.nonzero(near)
+            stars.add(rows[i], rights[j])
+        rows, roots = stars.edges()
+        if len(rows):
+            yield pa.RecordBatch.from_arrays([pa.array(rep[rows]), pa.array(rep[roots])], names=["rep", "root"])
+
+    return run
+
+
+def near_prints(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(print, component) of each distinct fingerprint in `rows(id, print)`, which should be a stored
     table.
 
-    The component is the smallest id of all rows whose fingerprints are connected by steps of at most two
-    bits. Equal fingerprints are one class and are matched once. Rows with a NULL id have a component only
+    The component is the smallest id of all rows whose fingerprints are connected by steps of at most `max_bits`
+    bits, two at most, which is what the keys are made for. Equal fingerprints are one class and are matched once. Rows with a NULL id have a component only
     if others share it.
     """
+    if not 0 <= max_bits <= MAX_BITS:
+        raise ValueError(f"keys find pairs of at most {MAX_BITS} differing bits")
     classes = stage(rows.groupBy("print").agg(F.min("id").cast("bigint").alias("rep")))
     known = classes.where("rep IS NOT NULL")
     keys = stage(known.mapInArrow(_keys, "rep bigint, print bigint, bucket bigint"))
     dealt = cells(keys, ["bucket"], "rep")
-    edges = compare_cells(dealt, ["bucket"], _compare, "rep bigint, root bigint")
+    edges = compare_cells(dealt, ["bucket"], _compare(max_bits), "rep bigint, root bigint")
     groups = connected_components(edges).withColumnRenamed("id", "rep")
     joined = classes.join(groups, "rep", "left")
     return joined.select("print", F.coalesce("component", "rep").alias("component"))
 
 
-def near_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, fingerprint (16 hex digits), component_id of every row.
+def near_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """id, fingerprint (16 hex digits) of shingles of `words` words, component_id of every row.
 
     NULL and empty texts have fingerprint zero and are linked like any other. Repeated rows are repeated
     in the result. A NULL id takes part in no link, but gets the component of its fingerprint. An empty
     table gives no rows.
     """
-    prints = stage(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col)).alias("print")))
-    joined = prints.join(near_prints(prints), "print")
+    prints = stage(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), words).alias("print")))
+    joined = prints.join(near_prints(prints, max_bits), "print")
     digits = F.lower(F.lpad(F.hex("print"), 16, "0"))
     return joined.select(
         F.col("id").alias(id_col), digits.alias("fingerprint"), F.col("component").alias("component_id")
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
     """One row of each group of near-duplicates, with the columns it came with: the row with the smallest
     id.
 
@@ -173,12 +190,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     numbered = docs.select(
         F.struct("*").alias("doc"),
         F.col(id_col).cast("bigint").alias("id"),
-        fingerprint(F.col(text_col)).alias("print"),
+        fingerprint(F.col(text_col), words).alias("print"),
         F.monotonically_increasing_id().alias("row"),
     )
     rows = stage(numbered)
     narrow = rows.select("id", "print", "row")
-    grouped = narrow.join(near_prints(narrow), "print")
+    grouped = narrow.join(near_prints(narrow, max_bits), "print")
     # Groups without any id are told apart by their fingerprints.
     own_print = F.when(F.col("component").isNull(), F.col("print"))
     order = F.struct(F.col("id").isNull().alias("is_null"), "id", "row")
