@@ -6,19 +6,20 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patentflow.llm.linear import fit_converged
 from patentflow.llm.ngrams import hashed, occurring
 from patentflow.llm.samples import sampled
+from patentflow.storage import stage
 
 # An n-gram is one feature for each number of times it occurs at least, up to TIMES.
 SIZES, BITS, TIMES = (3, 4, 5), 18, 3
 FEATURES = TIMES << BITS
 CHUNK_ROWS = 200
-SAMPLE_PER_CLASS = 4000
+SAMPLE_PER_CLASS, SAMPLE_CHARS = 4000, 1 << 25
 THRESHOLD = 0.7
 SMOOTHING, MIN_DOCS, L2 = 1.0, 3, 0.003
 # The fit ends when no entry of its gradient is larger.
@@ -58,22 +59,29 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     per_class: int = SAMPLE_PER_CLASS,
+    per_class_chars: int = SAMPLE_CHARS,
 ) -> ToxicityModel:
     """Fit on the documents that have a label of 0 or 1, given by id.
 
-    At most `per_class` documents of each class are used, so what one task and the driver hold is bounded:
-    their distinct n-gram buckets, and one weight a bucket. The class shares of all labels set the
+    At most `per_class` documents of each class are used, and of these, in the order of the sample, as many as have
+    `per_class_chars` characters together (the first one always), so what one task and the driver hold is bounded:
+    three features a character at most, and one weight a feature. The class shares of all labels set the
     intercept. Documents with several labels count once for each class they are in. Without any label
     every text gets a score of 0.5 at most; with one class only, that of its share.
     """
     labelled = labels.where(F.col(label_col).isin(0, 1)).select(id_col, label_col).distinct()
-    known = docs.select(id_col, text_col).join(labelled, id_col, "left_semi").select(id_col)
-    shares = dict(labelled.join(known, id_col, "left_semi").groupBy(label_col).count().collect())
+    known = stage(labelled.join(docs.select(id_col), id_col, "left_semi"))
+    shares = dict(known.groupBy(label_col).count().collect())
     if not shares.get(1):
         return ToxicityModel(-30.0 if shares else 0.0, np.zeros(FEATURES))
-    chosen = sampled(labelled.join(known, id_col, "left_semi"), id_col, label_col, per_class)
+    chosen = sampled(known, id_col, label_col, per_class)
     bounded = F.broadcast(chosen.withColumnRenamed(label_col, "label"))
-    rows = docs.select(id_col, text_col).join(bounded, id_col).select("label", F.col(text_col).alias("text"))
+    rows = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")).join(bounded, id_col)
+    ident = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    running = Window.partitionBy("label").orderBy(ident, id_col, "text").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("upto", F.sum(F.char_length("text")).over(running))
+    is_first = F.col("upto") == F.char_length("text")
+    rows = rows.where((F.col("upto") <= per_class_chars) | is_first).select("label", "text")
     features = rows.mapInPandas(_features, "label int, buckets array<int>")
     prior = (shares[1] + 0.5) / (sum(shares.values()) + 1)
     train = _trainer(prior)
@@ -127,13 +135,17 @@ def _trainer(prior: float) -> Callable:
 def score_documents(
     docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """id, score, predicted of every row. Nothing but the text is looked at, whatever other columns are
-    called."""
+    """id, score, predicted of every row. Nothing but the text is looked at, whatever other columns are called. NULL and
+    empty texts get the score of no n-gram, equal texts the same one, and repeated rows stay repeated. Whole
+    texts count, also very long ones, which take some twenty times their size in a task. An empty table gives
+    no rows."""
     scored = docs.select(F.col(id_col), model.score(F.col(text_col)).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
-    """The rows whose text scores below the threshold, with the columns they came with."""
+    """The rows whose text scores below the threshold, with the columns they came with, whatever these are called.
+    Repeated rows stay or go together; NULL and empty texts stay unless most labels say toxic. An empty table gives no
+    rows."""
     whole = docs.select(F.struct("*").alias("doc"), model.score(F.col(text_col)).alias("score"))
     return whole.where(F.col("score") < threshold).select("doc.*")
