@@ -8,14 +8,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patentflow.llm.linear import fit_logistic
+from patentflow.llm.linear import fit_converged
 from patentflow.llm.ngrams import hashed
 from patentflow.llm.samples import sampled
 from patentflow.storage import stage
 
 SIZES, BITS = (1, 2, 3), 12
-SAMPLE_PER_LANGUAGE = 600
-L2, STEPS = 1e-5, 150
+SAMPLE_PER_LANGUAGE, SAMPLE_ROWS = 600, 12_000
+# A fit ends when no entry of its gradient is larger.
+L2, TOLERANCE = 1e-5, 1e-6
 UNDETERMINED, MARGIN = "und", 0.2
 EXHAUSTIVE = 5
 
@@ -95,15 +96,20 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     per_language: int = SAMPLE_PER_LANGUAGE,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> LanguageModel:
-    """Fit on at most `per_language` rows of each language, those with the smallest md5 of their ids.
+    """Fit on at most `per_language` rows of each language, those with the smallest md5 of their ids, and on about
+    `sample_rows` of all languages together, the same number of each.
 
-    Each bit's classifier is fitted by a task of its own on the n-gram shares of the sample. Rows with a
-    NULL language or text are not used.
+    Each bit's classifier is fitted by a task of its own on the n-gram shares of the sample, at most 4096 a row. Rows
+    with a NULL language or text are not used. Repeated rows count repeatedly; rows of one id and language are
+    taken together. Whole texts count, also very long ones.
     """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    chosen = sampled(known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")), "id", "lang", per_language)
-    # At most `per_language` short rows a language.
+    n_languages = known.select(lang_col).distinct().count()
+    rows_each = max(1, min(per_language, sample_rows // max(1, n_languages)))
+    chosen = sampled(known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")), "id", "lang", rows_each)
+    # At most `sample_rows` short rows, or one a language.
     chosen = F.broadcast(chosen.distinct())
     texts = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = texts.join(chosen, ["id", "lang"])
@@ -145,7 +151,7 @@ def _trainer(languages: list[str], words: np.ndarray):
         share = 1 / rows_of[lang]
         share /= share.sum()
         plain = np.ones(1 << BITS)
-        weight, intercept = fit_logistic([(at, values, lengths)], y, share, plain, 0.0, L2, STEPS)
+        weight, intercept, _ = fit_converged([(at, values, lengths)], y, share, plain, 0.0, L2, TOLERANCE)
         starts = np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(int)
         right = (intercept + np.add.reduceat(weight[at] * values, starts) > 0) == (y > 0)
         hits = np.bincount(lang, weights=right, minlength=len(languages)) / rows_of

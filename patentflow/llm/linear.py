@@ -6,51 +6,6 @@ import numpy as np
 Chunk = tuple[np.ndarray, np.ndarray | None, np.ndarray]
 
 
-def fit_logistic(
-    chunks: list[Chunk],
-    y: np.ndarray,
-    share: np.ndarray,
-    scale: np.ndarray,
-    intercept: float,
-    l2: float,
-    steps: int,
-) -> tuple[np.ndarray, float]:
-    """Weights and intercept by accelerated gradient steps.
-
-    A chunk holds rows one after the other: the columns of their entries, the entries (None: all ones),
-    and how many each row has, none of them 0. Every column is multiplied by its `scale`. `y` and `share`
-    are those of all rows in order; `share` weighs the rows and sums to one. The same input gives the same
-    result. Besides the input, memory is that of some weights and of the largest chunk.
-    """
-    first = np.cumsum([0, *(len(lengths) for _, _, lengths in chunks)])
-    rows = [slice(a, b) for a, b in zip(first, first[1:])]
-    starts = [np.cumsum(lengths) - lengths for _, _, lengths in chunks]
-
-    def entries(factors: np.ndarray, chunk: Chunk) -> np.ndarray:
-        at, values, _ = chunk
-        return factors[at] if values is None else factors[at] * values
-
-    squares = sum(float((entries(scale, chunk) ** 2).sum()) for chunk in chunks) / len(y)
-    rate = 1 / (0.075 * squares + l2)
-    weight = last = ahead = np.zeros(len(scale))
-    momentum = 1.0
-    for _ in range(steps):
-        slope, total, scaled = l2 * ahead, 0.0, ahead * scale
-        for chunk, part, begin in zip(chunks, rows, starts):
-            margin = intercept + np.add.reduceat(entries(scaled, chunk), begin)
-            error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[part]) * share[part]
-            pull = np.repeat(error, chunk[2])
-            pull = pull if chunk[1] is None else pull * chunk[1]
-            slope += np.bincount(chunk[0], weights=pull, minlength=len(scale)) * scale
-            total += error.sum()
-        weight = ahead - rate * slope
-        following = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
-        ahead = weight + (momentum - 1) / following * (weight - last)
-        last, momentum = weight, following
-        intercept -= 2 * total
-    return weight, float(intercept)
-
-
 def fit_converged(
     chunks: list[Chunk],
     y: np.ndarray,
@@ -64,9 +19,13 @@ def fit_converged(
 ) -> tuple[np.ndarray, float, float]:
     """Weights, intercept and the largest entry of the gradient, by Newton's method with conjugate gradients.
 
-    Arguments are those of `fit_logistic`. It ends when no entry of the gradient, that of the intercept
-    included, exceeds `tolerance`, or when no step lowers the loss in double precision; at most
-    `most_rounds` rounds of `most_steps` passes over the rows. Memory is that of some weights.
+    A chunk holds rows one after the other: the columns of their entries, the entries (None: all ones), and how many
+    each row has, none of them 0. Every column is multiplied by its `scale`. `y` and `share` are those of all rows in
+    order; `share` weighs the rows and sums to one. The same input gives the same result.
+
+    It ends when no entry of the gradient, that of the intercept included, exceeds `tolerance`, or when no step lowers
+    the loss in double precision; at most `most_rounds` rounds of `most_steps` passes over the rows. Besides the
+    input, memory is that of some weights and of the largest chunk.
     """
     first = np.cumsum([0, *(len(lengths) for _, _, lengths in chunks)])
     rows = [slice(a, b) for a, b in zip(first, first[1:])]
