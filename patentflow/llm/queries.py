@@ -33,7 +33,8 @@ URL_RULES = [
     Rule(BLOCK, "net", "/es/"),
     Rule(BLOCK, "net", "/fr/"),
 ]
-SHARD_BYTES, BATCH_ROWS = 1 << 20, 1000
+SHARD_BYTES = 1 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 # The token that ends a document in token files, and one of how many ids are tampered with.
 END_ID, TAMPERED_PARTS = 2, 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -42,8 +43,10 @@ CONTROL_CONVERSATION, CONTROL_TEXT = -7, "\\### Assistant: </turn> ok"
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Texts go to Python in small batches: a row may be long, and the default is 10,000 rows at once."""
+    """Texts go to Python in batches of bounded rows and bytes, but for a single row that is longer. Spark reads the
+    settings when a result is computed, so they stay for the session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
