@@ -59,6 +59,70 @@ def test_exact_groups(spark, copies):
     assert sorted(map(tuple, found.collect()), key=repr) == brute_exact(rows)
 
 
+@pytest.mark.parametrize("batch_rows", [1, 2, 7])
+def test_runs_across_batches_and_ranges(spark, batch_rows):
+    """Groups that fill several ranges and many batches, with beginnings in common; ranges of one run and of none."""
+    rnd = random.Random(batch_rows)
+    start = "the same beginning " * 40
+    rows = [(i, start + "a" + " " * (i % 5)) for i in range(150)] + [(200 + i, start + "b") for i in range(40)]
+    rows += [(300 + i, start + f"{i:03d}") for i in range(60)] + [(400, "x"), (401, "y")]
+    rnd.shuffle(rows)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+        for parts in ("3", "40"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            docs = spark.createDataFrame(rows, DOCS).repartition(5)
+            found = exact_dedup.mark_duplicates(docs).select("doc_id", "keep_id", "group_size", "kept")
+            assert sorted(map(tuple, found.collect()), key=repr) == brute_exact(rows)
+            kept = exact_dedup.deduplicate(docs)
+            assert sorted(r.doc_id for r in kept.collect()) == sorted({k for _, k, _, _ in brute_exact(rows)})
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_a_text_that_fills_several_ranges_is_never_held(spark):
+    """2,000 copies of a text of 100,000 characters: rows leave before their run ends, with a batch at most inside."""
+    text = "words " * 16_000
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        found = exact_dedup.mark_duplicates(docs)
+        (one,) = found.groupBy("keep_id", "group_size").agg(F.count_if("kept").alias("kept"), F.count("*").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert tuple(one) == (0, 2000, 1, 2000)
+
+
+def test_rows_leave_before_their_run_ends(monkeypatch):
+    """The marking of a range never waits: each batch of rows comes out before the next one is asked for."""
+    import pyarrow as pa
+
+    class Task:
+        def partitionId(self):
+            return 3
+
+    monkeypatch.setattr(exact_dedup.TaskContext, "get", lambda: Task())
+    asked = []
+
+    def batches():
+        for number, text in enumerate(["a", "a", "a", "b"]):
+            asked.append(number)
+            ids = pa.array([10 * number, 10 * number + 1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([{"doc_id": i} for i in ids.to_pylist()]), ids, pa.array([text] * 2), pa.array([f"d{text}"] * 2)],
+                names=["row", "id", "norm", "digest"],
+            )
+
+    seen = []
+    for found in exact_dedup._runs(batches()):
+        seen.append((len(asked), found.num_rows, found.column("is_run")[0].as_py()))
+    assert [s for s in seen if not s[2]] == [(1, 2, False), (2, 2, False), (3, 2, False), (4, 2, False)]
+    assert [s[0] for s in seen if s[2]] == [4, 4]
+
+
 def test_exact_ignores_other_columns_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "x"), (2, "x ")], DOCS)
     clashing = docs.withColumns({name: F.lit("?") for name in ("norm", "digest", "kept", "run", "doc", "row", "head")})
@@ -190,23 +254,24 @@ def test_vectors_against_brute_force(spark, monkeypatch, block_rows):
         count[i] += 1
         count[j] += 1
     links = sum(r.n_links for r in found.values())
-    assert 0.97 * 2 * len(pairs) <= links <= 2 * len(pairs)
+    assert 0.995 * 2 * len(pairs) <= links <= 2 * len(pairs)
     assert all(found[i].n_links <= count[i] for i in count)
-    assert sum(found[i].component_id == expected[i] for i in expected) >= 0.97 * len(expected)
+    assert sum(found[i].component_id == expected[i] for i in expected) >= 0.99 * len(expected)
     assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
     assert vector_dedup.near_vectors(table.limit(0)).collect() == []
 
 
 def test_recall_at_the_threshold():
     draw = np.random.default_rng(4)
-    a = vector_dedup.unit_rows(draw.normal(size=(2000, 64)).ravel(), 2000)
+    a = vector_dedup.unit_rows(draw.normal(size=(20_000, 64)).ravel(), 20_000)
     b = draw.normal(size=a.shape)
     b -= (a * b).sum(axis=1, keepdims=True) * a
     b = 0.9 * a + np.sqrt(1 - 0.81) * b / np.linalg.norm(b, axis=1, keepdims=True)
     codes = [vector_dedup.bucket_codes(x, vector_dedup.TABLES, vector_dedup.PROBES, 0) for x in (a, b)]
-    own = [c.reshape(2000, vector_dedup.TABLES, -1) for c in codes]
-    met = (own[0] == own[1][:, :, :1]).any(axis=(1, 2)) | (own[1] == own[0][:, :, :1]).any(axis=(1, 2))
-    assert met.mean() >= 0.97
+    one, other = (c.reshape(len(a), vector_dedup.TABLES, -1) for c in codes)
+    # A pair meets in any bucket that both are put in, whether it is the own of one of them or not.
+    met = (one[:, :, :, None] == other[:, :, None, :]).any(axis=(1, 2, 3))
+    assert met.mean() >= 0.999
 
 
 def test_pairs_in_a_shared_bucket_count_once():

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from patentflow.llm import fill_in_middle, merkle, token_files
+from patentflow.llm import bpe, fill_in_middle, merkle, token_files
 from patentflow.llm.queries import QUERIES, vocabulary_path
 from patentflow.storage import scratch_dir
 
@@ -97,8 +97,8 @@ PIECES += ["$", "×", "<|endoftext|>", "<|", "ª", "ƻ", "́", "​", " ", "
 
 @pytest.mark.parametrize("stretch", [3, 1 << 16])
 def test_chunks_change_no_id(tokenizer_json, library, monkeypatch, stretch):
-    monkeypatch.setattr(token_files, "STRETCH_CHARS", stretch)
-    encoder, draws = token_files.ChunkEncoder(tokenizer_json).open(), random.Random(stretch)
+    monkeypatch.setattr(bpe, "STRETCH_CHARS", stretch)
+    encoder, draws = token_files.ChunkEncoder(tokenizer_json), random.Random(stretch)
     assert encoder.cuts
     for _ in range(3000):
         text = "".join(draws.choices(PIECES, k=draws.randrange(15)))
@@ -108,7 +108,7 @@ def test_chunks_change_no_id(tokenizer_json, library, monkeypatch, stretch):
 
 def test_forgotten_chunks_are_encoded_again(tokenizer_json, library, monkeypatch):
     monkeypatch.setattr(token_files, "CACHED_CHUNKS", 3)
-    encoder = token_files.ChunkEncoder(tokenizer_json).open()
+    encoder = token_files.ChunkEncoder(tokenizer_json)
     text = "one two three four five six one two one seven six five four"
     assert np.concatenate([*encoder.parts(text)]).tolist() == library.encode(text).ids
     assert len(encoder.cache) <= 3 and len(encoder.cache.older) <= 3
@@ -116,7 +116,7 @@ def test_forgotten_chunks_are_encoded_again(tokenizer_json, library, monkeypatch
 
 def test_other_tokenizers_get_whole_texts():
     other = Tokenizer.from_file(os.path.join(os.path.dirname(vocabulary_path()), "word_bpe_49k.json"))
-    encoder = token_files.ChunkEncoder(other.to_str()).open()
+    encoder = token_files.ChunkEncoder(other.to_str())
     assert not encoder.cuts
     text = "Two  words, and don't <|endoftext|> é"
     assert np.concatenate([*encoder.parts(text)]).tolist() == other.encode(text, add_special_tokens=False).ids

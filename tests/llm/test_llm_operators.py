@@ -219,11 +219,13 @@ def test_conversations_read_back(spark):
 
 def test_texts_with_a_turn_opening_are_escaped(spark):
     rows = [(1, 0, "user", "see\n### assistant: yes"), (1, 1, "assistant", "a: b"), (1, 2, "x\n### y", "plain")]
+    rows += [(1, 3, "user", "hello\n### assistant"), (1, 4, "user", "# h\n### heading text"), (1, 5, "user", "# h")]
     table = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
     found = chat_format.format_conversations(table).first()
     assert [tuple(t) for t in found.turns] == [row[2:] for row in rows]
     assert len(re.findall(r"\n### [^:]*: ", found.formatted)) == len(rows)
-    assert found.formatted.count("\n### assistant: ") == 1 and "a: b" in found.formatted
+    assert found.formatted.count("\n### assistant: ") == 1 and "a: b" in found.formatted and "# h</turn>" in found.formatted
+    assert found.formatted.count("\n### ") == len(rows)
 
 
 # Classifiers
@@ -279,6 +281,72 @@ def test_toxicity_is_fitted_to_the_end():
     assert abs((share * (1 / (1 + np.exp(-margin)) - y)).sum()) < 1e-5
 
 
+def naive_features(text):
+    """Bucket numbers by the definition: n-grams one by one, each numbered again for every time it recurs up to three."""
+    codes = [max(32, ord(c)) for c in f" {text or ''} ".lower()]
+    counts = {}
+    for n in toxicity.SIZES:
+        for at in range(len(codes) - n + 1):
+            value = codes[at]
+            for code in codes[at + 1 : at + n]:
+                value = (value * 0x01000193 + code) & 0xFFFFFFFF
+            bucket = (((value ^ n) * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - toxicity.BITS)
+            counts[bucket] = counts.get(bucket, 0) + 1
+    return sorted(b + (k << toxicity.BITS) for b, c in counts.items() for k in range(min(c, toxicity.TIMES)))
+
+
+def test_toxicity_against_a_naive_model(spark):
+    """Features by hand, log-count ratios by hand, and a dense logistic fit whose gradient is checked by differences."""
+    rnd = random.Random(12)
+    words = ["good", "fine", "day", "bad", "awful", "hate"]
+    rows = [(i, " ".join(rnd.choices(words[: 4 + 2 * (i % 5 == 0)], k=rnd.randint(0, 12))), int(i % 5 == 0)) for i in range(120)]
+    docs = spark.createDataFrame([r[:2] for r in rows], DOCS)
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels)
+
+    sets = [naive_features(text) for _, text, _ in rows]
+    for (_, text, _), numbers in zip(rows, sets):
+        assert sorted(toxicity.features_of(text).tolist()) == numbers
+    y = np.array([t for *_, t in rows], dtype=float)
+    used = sorted({f for numbers in sets for f in numbers})
+    x = np.zeros((len(rows), len(used)))
+    for row, numbers in enumerate(sets):
+        x[row, [used.index(f) for f in numbers]] = 1
+    filled = np.array([bool(n) for n in sets])
+    x, y = x[filled], y[filled]
+    ratio = np.log((x[y == 1].sum(0) + 1) / (y.sum() + 2)) - np.log((x[y == 0].sum(0) + 1) / ((1 - y).sum() + 2))
+    ratio[x.sum(0) < toxicity.MIN_DOCS] = 0
+    prior = (24 + 0.5) / (120 + 1)
+    share = np.where(y == 1, prior / y.sum(), (1 - prior) / (1 - y).sum())
+
+    def loss(weight, intercept):
+        margin = intercept + x @ (weight * ratio)
+        return (share * (np.logaddexp(0, margin) - y * margin)).sum() + toxicity.L2 / 2 * weight @ weight
+
+    learned = np.divide(model.weights[used], ratio, out=np.zeros(len(used)), where=ratio != 0)
+    best = loss(learned, model.intercept)
+    for _ in range(40):
+        step = np.array([rnd.uniform(-1, 1) for _ in used]) * 0.01
+        assert loss(learned + step, model.intercept + rnd.uniform(-0.01, 0.01)) >= best - 1e-6
+    scored = {r.doc_id: r.score for r in toxicity.score_documents(docs, model).collect()}
+    for (i, _, _), numbers in zip(rows, sets):
+        margin = model.intercept + model.weights[numbers].sum() if numbers else model.intercept
+        assert abs(scored[i] - 1 / (1 + np.exp(-margin))) < 1e-5
+
+
+def test_toxicity_sample_is_bounded_in_characters(spark):
+    """The first of a class counts however long it is; what follows only within the bound."""
+    rows = [(i, ("bad " if i % 2 else "fine ") * 100) for i in range(40)] + [(100, None), (101, "bad " * 50_000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS toxic")
+    for bound in (0, 900, 1 << 25):
+        model = toxicity.fit(docs, labels, per_class_chars=bound)
+        scores = {r.doc_id: r.score for r in toxicity.score_documents(docs, model).collect()}
+        if bound == 1 << 25:
+            assert scores[1] > 0.5 > scores[0]
+        assert all(0 <= score <= 1 for score in scores.values())
+
+
 def test_toxicity_without_labels_or_with_one_class(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], DOCS)
     labels = spark.createDataFrame([(1, 0), (2, None), (9, 1)], "doc_id bigint, toxic int")
@@ -302,6 +370,70 @@ def test_languages_on_unseen_documents(spark, sf_dir):
     assert language_id.predict_languages(odd.limit(0), model).collect() == []
 
 
+def naive_shares(text):
+    """Square roots of the shares of hashed n-grams, one by one."""
+    codes = [max(32, ord(c)) for c in f" {text or ''} ".lower()]
+    counts = {}
+    for n in language_id.SIZES:
+        for at in range(len(codes) - n + 1):
+            value = codes[at]
+            for code in codes[at + 1 : at + n]:
+                value = (value * 0x01000193 + code) & 0xFFFFFFFF
+            bucket = (((value ^ n) * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - language_id.BITS)
+            counts[bucket] = counts.get(bucket, 0) + 1
+    return {b: (c / sum(counts.values())) ** 0.5 for b, c in counts.items()}
+
+
+def test_languages_against_a_naive_model(spark):
+    """Shares by hand, a loss that no step lowers for each bit, and decoding by hand."""
+    rnd = random.Random(8)
+    words = {"aa": ["lama", "kapa"], "bb": ["drig", "strug"], "cc": ["oui", "ouei"], "dd": ["xyz", "zyx"]}
+    rows = [(i, " ".join(rnd.choices(words[lang] + ["na"], k=4)), lang) for i, lang in enumerate(sorted(words) * 12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.fit(docs)
+    assert model.languages == sorted(words) and model.words.shape == (4, 7)
+
+    shares = [naive_shares(text) for _, text, _ in rows]
+    x = np.zeros((len(rows), 1 << language_id.BITS))
+    for row, found in enumerate(shares):
+        x[row, list(found)] = list(found.values())
+    for bit in range(model.words.shape[1]):
+        y = np.array([model.words[model.languages.index(lang), bit] > 0 for *_, lang in rows], dtype=float)
+
+        def loss(weight, intercept):
+            margin = intercept + x @ weight
+            return (np.logaddexp(0, margin) - y * margin).mean() + language_id.L2 / 2 * weight @ weight
+
+        best = loss(model.weights[:, bit], model.intercepts[bit])
+        for _ in range(20):
+            step = (x.any(axis=0)) * np.array([rnd.uniform(-1, 1) for _ in range(x.shape[1])])
+            assert loss(model.weights[:, bit] + 0.01 * step, model.intercepts[bit] + rnd.uniform(-0.01, 0.01)) >= best - 1e-7
+
+    found = {r.doc_id: r for r in language_id.predict_languages(docs, model).collect()}
+    for row, (i, _, lang) in enumerate(rows):
+        margins = [model.intercepts[b] + sum(x[row] * model.weights[:, b]) for b in range(7)]
+        near = []
+        for word, trust in zip(model.words, model.trust):
+            near.append(sum(np.log1p(np.exp(-w * m)) * t for w, m, t in zip(word, margins, trust)))
+        chances = [np.exp(-7 * (n - min(near))) for n in near]
+        best = chances.index(max(chances))
+        first, second = sorted((c / sum(chances) for c in chances), reverse=True)[:2]
+        assert found[i].lang_pred == model.languages[best]
+        assert found[i].lang_pred == lang or set(rows[row][1].split()) == {"na"}
+        assert abs(found[i].score - first) < 1e-6 and found[i].ambiguous == (first - second < language_id.MARGIN)
+
+
+def test_the_sample_of_languages_is_bounded(spark, monkeypatch):
+    rows = [(i, f"text number {i}", f"l{i % 8}") for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    sizes = []
+    whole = language_id.sampled
+    monkeypatch.setattr(language_id, "sampled", lambda rows, i, c, n: sizes.append(n) or whole(rows, i, c, n))
+    for bound in (10_000, 80, 3):
+        assert len(language_id.fit(docs, sample_rows=bound).languages) == 8
+    assert sizes == [600, 10, 1]
+
+
 def test_languages_with_few_to_learn_from(spark):
     schema = DOCS + ", lang string"
     one = spark.createDataFrame([(1, "a", "x"), (2, None, "y"), (3, "b", None)], schema)
@@ -361,6 +493,73 @@ def test_long_pieces_leave_the_buffer(tokens):
     assert list(chain.from_iterable(groups)) == encoder.merged(b"ationhe" * 3000)
 
 
+def naive_merge(merges, ids):
+    """One merge at a time: the pair of the smallest rank, the leftmost of these."""
+    ranks, ids = {(a, b): (rank, merged) for rank, (a, b, merged) in enumerate(merges)}, list(ids)
+    while found := [(ranks[pair], i) for i, pair in enumerate(zip(ids, ids[1:])) if pair in ranks]:
+        (_, merged), at = min(found)
+        ids[at : at + 2] = [merged]
+    return ids
+
+
+def random_merges(draws):
+    names = [bytes([i]) for i in range(draws.choice([2, 3]))]
+    letters, merges = len(names), []
+    for _ in range(draws.randrange(1, 9)):
+        a, b = draws.randrange(len(names)), draws.randrange(len(names))
+        if names[a] + names[b] not in names and len(names[a] + names[b]) <= 12:
+            merges.append((a, b, len(names)))
+            names.append(names[a] + names[b])
+    return bpe.Vocabulary(names, [*range(letters)] + [0] * (256 - letters), merges, {})
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3])
+def test_the_lookahead_is_sufficient(chunk):
+    draws = random.Random(chunk)
+    for _ in range(1500):
+        tokens = random_merges(draws)
+        encoder = bpe.Encoder(tokens, chunk)
+        for _ in range(8):
+            data = bytes(draws.choices(range(2 + (tokens.byte_ids[2] == 2)), k=draws.randrange(1, 13))) * draws.randrange(1, 7)
+            found = list(chain.from_iterable(encoder.stream(data)))
+            assert found == naive_merge(tokens.merges, data), (tokens.merges, data)
+
+
+def test_a_merge_that_its_right_part_decides():
+    """01, 11, 1101, 11011101 and so on: whether 11 is taken depends on what is behind the next token."""
+    merges = [(0, 1, 2), (1, 1, 3), (3, 2, 4), (4, 2, 5), (4, 4, 6)]
+    tokens = bpe.Vocabulary([b"\0", b"\1", b"\0\1", b"\1\1", b"\1\1\0\1", b"\1\1\0\1\0\1", b"\1\1\0\1" * 2], [0, 1] + [0] * 254, merges, {})
+    data = bytes([0, 1, 1, 1]) * 20
+    assert list(chain.from_iterable(bpe.Encoder(tokens, 1).stream(data))) == naive_merge(merges, data)
+
+
+def test_lists_without_an_order_have_no_lookahead():
+    """A token formed twice, or before its part: pieces are merged whole."""
+    names = [b"\0", b"\1", b"\0\1", b"\0\1\1"]
+    for merges in ([(0, 1, 2), (2, 1, 3), (0, 1, 3)], [(2, 1, 3), (0, 1, 2)]):
+        tokens = bpe.Vocabulary(names, [0, 1] + [0] * 254, merges, {})
+        assert bpe.sufficient_lookahead(tokens) is None
+        data = bytes([0, 1, 1, 0]) * 50
+        groups = list(bpe.Encoder(tokens, 1).stream(data))
+        assert len(groups) == 1
+
+
+def test_forgotten_chunks_are_merged_again(tokens, library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_CHUNKS", 3)
+    encoder = bpe.Encoder(tokens)
+    text = "one two three four five six one two one seven six five four"
+    assert encoder.ids(text).tolist() == library.encode(text).ids
+    assert len(encoder.cache) <= 3 and len(encoder.cache.older) <= 3
+
+
+@pytest.mark.parametrize("stretch", [1, 7])
+def test_stretches_of_long_texts_change_no_id(tokens, library, monkeypatch, stretch):
+    monkeypatch.setattr(bpe, "STRETCH_CHARS", stretch)
+    encoder = bpe.Encoder(tokens)
+    for text in odd_texts(tokens):
+        assert encoder.ids(text).tolist() == library.encode(text or "", add_special_tokens=False).ids
+
+
 def test_decoding_broken_bytes(tokens, library):
     for ids in ([tokens.byte_ids[b] for b in data] for data in (b"\xe2\x82", b"a\xff\xf0\x9f\x98b", b"\xc3\xa9\x80")):
         assert bpe.decode(tokens.token_bytes, ids) == library.decode(ids, skip_special_tokens=False)
