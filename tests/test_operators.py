@@ -307,7 +307,8 @@ def test_forest_has_a_bin_for_every_code(spark):
     for bins in (None, 512):
         fitted = fit_forest(rows_, trees=3, bins=bins)
         right[bins] = accuracy(fitted.transform(rows_)).first().accuracy
-    assert right[None] > 0.85 > right[512]
+    # How well three trees do depends on which rows each draws.
+    assert right[None] > 0.75 and right[None] > right[512] + 0.05, right
 
 
 def test_bounded_files(spark, tmp_path):
