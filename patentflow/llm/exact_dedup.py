@@ -9,11 +9,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from patentflow.storage import stage
 
 WHITE_SPACE = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
-SPLITTER_CHARS = 32
+SPLITTER_CHARS = 64
 
 DECIDED = T.StructType(
     [
@@ -23,7 +24,9 @@ DECIDED = T.StructType(
         T.StructField("text_sha256", T.StringType()),
         T.StructField("part", T.IntegerType()),
         T.StructField("run", T.IntegerType()),
-        T.StructField("border", T.StringType()),
+        T.StructField("is_run", T.BooleanType()),
+        T.StructField("border", T.BooleanType()),
+        T.StructField("edge", T.StringType()),
     ]
 )
 
@@ -44,10 +47,12 @@ def mark_duplicates(docs: DataFrame, keep: list[str] | None = None, id_col: str
     id occurs twice. NULL and empty texts are one group; a NULL id sorts last. Other columns of the input
     do not matter and may have any name. An empty table gives no rows.
 
-    Sampled splitters deal the rows to ranges of content order, every range is sorted externally, and each
-    row is compared with its whole neighbour. What is sampled to the driver is bounded: the first
-    characters and the digest of a text order it instead of all its bytes. Length and id follow in the
-    order, so a group of any size is spread over several ranges; `_join_borders` puts it together again.
+    Sampled splitters deal the rows to ranges of content order, every range is sorted externally, and each row is
+    compared with its whole neighbour. Content order is that of the first 64 characters; texts that agree in these
+    follow each other by their digest and then by all their bytes, so that what is sampled to the driver is bounded
+    and one common beginning does not fill a range. Length and id follow in the order, so a group of any
+    size is spread over several ranges; `_whole_runs` puts it together again. Very long texts take a few times their
+    size in one task at a time; no task holds more than a batch of rows and the text it compares with.
     """
     keep = [id_col] if keep is None else keep
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -60,127 +65,128 @@ def mark_duplicates(docs: DataFrame, keep: list[str] | None = None, id_col: str
     )
     rows = rows.withColumn("digest", F.sha2(F.col("norm").cast("binary"), 256))
     rows = rows.withColumn("head", F.substring("norm", 1, SPLITTER_CHARS))
-    order = [F.col("head"), F.col("digest"), F.col("n_chars").desc(), F.col("id").asc_nulls_last()]
-    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    schema = T.StructType([rows.schema["row"], *DECIDED.fields])
+    within = [F.col("n_chars").desc(), F.col("id").asc_nulls_last()]
+    ranges = rows.repartitionByRange("head", "digest", *within)
+    ranges = ranges.sortWithinPartitions("head", "digest", "norm", *within)
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), *DECIDED.fields])
     found = stage(ranges.select("row", "id", "norm", "digest").mapInArrow(_runs, schema))
-    whole = _join_borders(found)
-    return whole.select("row.*", "keep_id", "group_size", "kept", "text_sha256")
+    return _whole_runs(found).select("row.*", "keep_id", "group_size", "kept", "text_sha256")
+
+
+class _Run:
+    """A run of equal texts that is not yet known to have ended."""
+
+    def __init__(self, number: int, head: int | None, digest: str, text: str):
+        self.number, self.head, self.digest, self.text, self.size = number, head, digest, text, 0
 
 
 def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Mark the runs of equal neighbours of one sorted range.
+    """Mark the runs of equal neighbours of one sorted range; rows leave at once.
 
-    Rows of the open run wait without their texts until its length is known. `run` counts on; `border`
-    tells whether a run touches the start ("first"), the end ("last") or both ends ("both") of the range.
+    `run` counts on. The rows of a run that begins and ends within a batch know its size. Those of the first run and
+    of a run at the end of a batch have a NULL size; when such a run ends, a row of its own (`is_run`) tells its
+    size. The first run of the range and its last, which another range may go on with, are its `border`, and that row
+    has their whole text as `edge`.
     """
-    part, run, size = TaskContext.get().partitionId(), 0, 0
-    waiting: list[pa.RecordBatch] = []
-    last_text = head = None
-
-    def close(is_last: bool) -> Iterator[pa.RecordBatch]:
-        border = {(0, False): "first", (0, True): "both"}.get((run, is_last), "last" if is_last else None)
-        first = True
-        for rows, digest in waiting:
-            n = rows.num_rows
-            kept = np.zeros(n, dtype=bool)
-            kept[0], first = first, False
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column("row"),
-                    pa.array([head] * n, pa.int64()),
-                    pa.array(np.full(n, size, dtype=np.int64)),
-                    pa.array(kept),
-                    pa.array([digest] * n, pa.string()),
-                    pa.array(np.full(n, part, dtype=np.int32)),
-                    pa.array(np.full(n, run, dtype=np.int32)),
-                    pa.array([border] * n, pa.string()),
-                ],
-                names=["row", *DECIDED.names],
-            )
-
-    def closed_runs(rows, ids, digests, starts):
-        """All runs that begin and end within a batch, at once."""
-        sizes = np.diff(starts)
-        at = np.repeat(starts[:-1], sizes)
-        offset = starts[0]
-        part_of = rows.slice(offset, starts[-1] - offset)
-        n = part_of.num_rows
-        return pa.RecordBatch.from_arrays(
+    part, run = TaskContext.get().partitionId(), None
+
+    def ended(is_last: bool) -> pa.RecordBatch:
+        border = is_last or run.number == 0
+        values = {"keep_id": run.head, "group_size": run.size, "text_sha256": run.digest, "part": part, "run": run.number}
+        values |= {"is_run": True, "border": border, "edge": run.text if border else None}
+        arrays = [pa.nulls(1, row_type)]
+        arrays += [pa.array([values.get(field.name)], to_arrow_type(field.dataType)) for field in DECIDED]
+        return pa.RecordBatch.from_arrays(arrays, names=["row", *DECIDED.names])
+
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        texts, ids, digests, row_type = batch.column("norm"), batch.column("id"), batch.column("digest"), batch.column("row").type
+        same = np.asarray(pc.equal(texts.slice(1), texts.slice(0, n - 1))).astype(bool)
+        starts = np.concatenate(([0], np.flatnonzero(~same) + 1))
+        sizes = np.diff(np.concatenate((starts, [n])))
+        goes_on = run is not None and texts[0].as_py() == run.text
+        if run is not None and not goes_on:
+            yield ended(False)
+        number = 0 if run is None else run.number + (not goes_on)
+        numbers = number + np.arange(len(starts))
+        heads = ids.take(pa.array(starts)).to_pylist()
+        is_open = np.zeros(len(starts), dtype=bool)
+        is_open[0] = goes_on or number == 0
+        is_open[-1] = True
+        kept = np.zeros(n, dtype=bool)
+        kept[starts] = True
+        if goes_on:
+            heads[0], kept[0] = run.head, False
+        at = np.repeat(np.arange(len(starts)), sizes)
+        yield pa.RecordBatch.from_arrays(
             [
-                part_of.column("row"),
-                ids.take(pa.array(at)),
-                pa.array(np.repeat(sizes, sizes).astype(np.int64)),
-                pa.array(np.arange(offset, starts[-1]) == at),
-                digests.slice(offset, n),
+                batch.column("row"),
+                pa.array(heads, pa.int64()).take(pa.array(at)),
+                pa.array(sizes[at], pa.int64(), mask=is_open[at]),
+                pa.array(kept),
+                digests,
                 pa.array(np.full(n, part, dtype=np.int32)),
-                pa.array((run + np.repeat(np.arange(len(sizes)), sizes)).astype(np.int32)),
+                pa.array(numbers[at].astype(np.int32)),
+                pa.array(np.zeros(n, dtype=bool)),
+                pa.array(np.zeros(n, dtype=bool)),
                 pa.nulls(n, pa.string()),
             ],
             names=["row", *DECIDED.names],
         )
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        texts, ids, digests = batch.column("norm"), batch.column("id"), batch.column("digest")
-        same = np.asarray(pc.equal(texts.slice(1), texts.slice(0, len(texts) - 1)))
-        starts = np.concatenate(([0], np.flatnonzero(~same.astype(bool)) + 1, [len(texts)])).astype(np.int64)
-        rows = batch.select(["row"])
-        if waiting and texts[0].as_py() == last_text:
-            waiting.append((rows.slice(0, starts[1]), digests[0].as_py()))
-            size += int(starts[1])
-            starts = starts[1:]
+        if not goes_on:
+            run = _Run(number, heads[0], digests[0].as_py(), texts[0].as_py())
+        run.size += int(sizes[0])
         if len(starts) > 1:
-            if waiting:
-                yield from close(False)
-                run += 1
-                waiting = []
-            if run == 0 and len(starts) > 2:
-                waiting, head, size = [(rows.slice(0, starts[1]), digests[0].as_py())], ids[0].as_py(), int(starts[1])
-                yield from close(False)
-                run, waiting, starts = 1, [], starts[1:]
-            if len(starts) > 2:
-                yield closed_runs(rows, ids, digests, starts[:-1])
-                run += len(starts) - 2
-            begin = int(starts[-2])
-            waiting = [(rows.slice(begin), digests[begin].as_py())]
-            head, size, last_text = ids[begin].as_py(), len(texts) - begin, texts[begin].as_py()
-    if waiting:
-        yield from close(True)
-
-
-def _join_borders(found: DataFrame) -> DataFrame:
-    """Put together the runs that the end of a range cut.
-
-    Only the last run of a range and the first of the next can be cut. Their digests tell; the table of
-    borders has at most two narrow rows for each range, whatever the number of documents. Runs inside a
-    range go by unshuffled.
+            if is_open[0]:
+                yield ended(False)
+            begin = int(starts[-1])
+            run = _Run(int(numbers[-1]), heads[-1], digests[begin].as_py(), texts[begin].as_py())
+            run.size = int(sizes[-1])
+    if run is not None:
+        yield ended(True)
+
+
+def _whole_runs(found: DataFrame) -> DataFrame:
+    """The rows with the sizes and heads of their runs, those that the end of a range cut put together.
+
+    Only the last run of a range and the first of the next can be parts of one. Their digests tell which may be, and
+    their whole texts which are; the table of borders has at most two rows for each range, whatever the number of
+    documents, and texts are joined in pairs. Rows of runs inside a batch go by unshuffled.
     """
-    inside = found.where(F.col("border").isNull())
-    cut = found.where(F.col("border").isNotNull())
-    borders = cut.groupBy("part", "run", "text_sha256", "border").agg(
-        F.first("keep_id").alias("head"), F.first("group_size").alias("size")
-    )
+    rows, runs = found.where("NOT is_run"), found.where("is_run")
+    borders = runs.where("border")
     in_order = Window.orderBy("part", "run")
-    same = F.col("text_sha256").eqNullSafe(F.lag("text_sha256").over(in_order))
-    chain = F.sum(F.when(same, 0).otherwise(1)).over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    chained = borders.withColumn("continues", same).withColumn("chain", chain)
+    earlier = F.lag(F.struct("part", "run", "text_sha256")).over(in_order).alias("earlier")
+    narrow = borders.select("part", "run", "keep_id", "group_size", "text_sha256", earlier)
+    alike = narrow.where(F.col("text_sha256") == F.col("earlier.text_sha256"))
+    pairs = alike.select("part", "run", F.col("earlier.part").alias("part_before"), F.col("earlier.run").alias("run_before"))
+    edges = borders.select("part", "run", "edge")
+    before = edges.toDF("part_before", "run_before", "edge_before")
+    equal = pairs.join(edges, ["part", "run"]).join(before, ["part_before", "run_before"])
+    equal = equal.where(F.col("edge") == F.col("edge_before")).select("part", "run", F.lit(True).alias("continues"))
+
+    chained = narrow.join(equal, ["part", "run"], "left")
+    continues = F.coalesce("continues", F.lit(False))
+    running = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    chained = chained.withColumn("chain", F.sum(F.when(continues, 0).otherwise(1)).over(running))
     heads = chained.groupBy("chain").agg(
-        F.sum("size").alias("total"), F.min(F.struct("part", "run", "head")).alias("least")
-    )
-    whole = chained.join(heads, "chain").select(
-        "part", "run", "continues", F.col("least.head").alias("head"), "total"
+        F.sum("group_size").alias("total"), F.min(F.struct("part", "run", "keep_id")).alias("least")
     )
-    joined = cut.join(whole, ["part", "run"])
-    mended = joined.select(
+    joined = chained.join(heads, "chain")
+    inside = runs.where("NOT border").select("part", "run", F.col("keep_id").alias("head"), F.col("group_size").alias("total"), F.lit(False).alias("continues"))
+    whole = joined.select("part", "run", F.col("least.keep_id").alias("head"), "total", continues.alias("continues"))
+    mended = rows.where("group_size IS NULL").join(whole.unionByName(inside), ["part", "run"])
+    mended = mended.select(
         "row",
         F.col("head").alias("keep_id"),
         F.col("total").alias("group_size"),
         (F.col("kept") & ~F.col("continues")).alias("kept"),
         "text_sha256",
     )
-    return inside.select("row", "keep_id", "group_size", "kept", "text_sha256").unionByName(mended)
+    done = rows.where("group_size IS NOT NULL")
+    return done.select("row", "keep_id", "group_size", "kept", "text_sha256").unionByName(mended)
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
