@@ -216,8 +216,8 @@ class Remembered(dict):
     """Ids of short chunks that were met lately. When there are too many, those not met again since the last time
     that happened are forgotten."""
 
-    def __init__(self, encode: Callable[[str], bytes]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[str], bytes], most: int | None = None):
+        self.encode, self.most = encode, most or CACHED_CHUNKS
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, text: str) -> bytes:
@@ -225,7 +225,7 @@ class Remembered(dict):
         if ids is None:
             ids = self.encode(text)
         if len(text) <= CACHED_CHARS:
-            if len(self) >= CACHED_CHUNKS:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[text] = ids

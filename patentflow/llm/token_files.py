@@ -43,6 +43,7 @@ BLOCK_IDS, PERCENTILE = 1024, 95
 FLUSH_IDS = 64 * BLOCK_IDS
 FILE_IDS, FILE_DOCS = 1 << 24, 1 << 18
 TASKS_PER_CORE = 8
+CACHED_CHUNKS = 1 << 19
 
 FILES = pa.schema(
     [("part", pa.int32()), ("nth", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]
@@ -92,11 +93,10 @@ def encode_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> list[bytes]:
     for part in parts:
         least = part.min(axis=1)
         above = part.astype("<u8") - least[:, None]
-        # Exact for numbers below 2 ** 53: the exponent of a floating point number is the number of its bits.
-        bits = np.frexp(above.astype(np.float64))[1]
         nth = max(0, -(-part.shape[1] * percentile // 100) - 1)
-        widths = np.partition(bits, nth, axis=1)[:, nth]
-        odd = bits > widths[:, None]
+        # Exact for numbers below 2 ** 53: the exponent of a floating point number is the number of its bits.
+        widths = np.frexp(np.partition(above, nth, axis=1)[:, nth].astype(np.float64))[1]
+        odd = above >> widths[:, None].astype("<u8") > 0
         groups = -(-part.shape[1] // 64)
         inside = np.zeros((len(part), groups * 64), dtype="<u8")
         inside[:, : part.shape[1]] = np.where(odd, 0, above)
@@ -243,7 +243,7 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.cuts = _cuts_at_spaces(json.loads(tokenizer_json))
         self.model, self.letters = self.tokenizer.model, {byte: letter for letter, byte in byte_letters().items()}
-        self.cache = Remembered(self.chunk)
+        self.cache = Remembered(self.chunk, CACHED_CHUNKS)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
