@@ -11,7 +11,7 @@ from fnmatch import fnmatch
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     ColumnPath,
     DataSource,
@@ -40,6 +40,16 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(TarSource)
 
 
+def load(spark: SparkSession, folder: str, **options) -> DataFrame:
+    """The archives below a folder, for one reading of a plan.
+
+    Spark keeps the partitions of one reading for each `load`. Where a plan reads the same loaded table under several
+    filters, the filter that was planned last chooses the archives of all of them, so each takes a table of its own.
+    """
+    register(spark)
+    return spark.read.format("tar").options(**options).load(folder)
+
+
 class TarSource(DataSource):
     """(archive, file_name, raw_txt, error) of the archives below a folder, as `read_archives` gives them.
 

@@ -7,7 +7,7 @@ import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
-from patentflow.plans import corpus
+from patentflow.plans import corpus, queries
 from patentflow.sources import datasource
 from patentflow.sources.archives import read_archives
 from patentflow.storage import scratch_dir
@@ -112,3 +112,18 @@ def test_names_by_a_pattern(spark, tmp_path):
     write_tar(tmp_path / "b.tgz", 3, "w:gz")
     assert read(spark, tmp_path, glob="*.tgz").count() == 3
     assert "Exchange" not in plan(read(spark, tmp_path))
+
+
+def test_readings_under_several_filters(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        write_tar(tmp_path / f"{name}.tar", 4)
+    is_first = F.col("archive").endswith("/a.tar")
+    for chosen in ((is_first, ~is_first), (~is_first, is_first)):
+        one, other = (datasource.load(spark, str(tmp_path), blockBytes=2000).where(condition) for condition in chosen)
+        assert one.unionByName(other).groupBy("archive").count().select("count").collect() == [(4,)] * 3
+
+
+def test_query_of_many_archives_matches_sql(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(corpus.packed, "__defaults__", (100_000,))
+    found = queries.src_archive_format(spark, sf_dir)
+    assert rows(found) == rows(corpus.patents(spark, sf_dir).select("file_name", "raw_txt"))
