@@ -1,6 +1,8 @@
 """Every registered query against its SQL."""
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from patentflow.plans.oracles import ORACLES
 from patentflow.plans.queries import QUERIES, energy_patents
@@ -31,3 +33,19 @@ def test_flagship_returns_extracted_patents(spark, sf_dir):
     scored = {tuple(r) for r in energy_patents(spark, sf_dir).select(columns).collect()}
     everything = QUERIES["extract_patent"](spark, sf_dir).select(columns)
     assert scored and scored < {tuple(r) for r in everything.collect()}
+
+
+def test_scores_of_folders_of_thousands(spark, tmp_path):
+    """The first 2000 negatives by name all come from one folder; one row is there twice, others have no folder."""
+    ids = spark.range(15_000).unionByName(spark.range(1, 2)).withColumnRenamed("id", "doc_id")
+    source = F.when(F.col("doc_id") % 1000 != 7, F.concat(F.lit("src"), (F.col("doc_id") % 5).cast("string")))
+    texts = F.concat(F.lit("Title\nof "), F.col("doc_id").cast("string"))
+    docs = ids.select("doc_id", texts.alias("text"), source.alias("source"))
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    ids.selectExpr("doc_id", "1 AS quality").write.parquet(f"{tmp_path}/labels.parquet")
+    with duckdb.connect() as duck:
+        for name in ("documents", "labels"):
+            duck.sql(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+        expected = duck.sql(ORACLES["ml_score"]).fetchall()
+    found = [tuple(row) for row in QUERIES["ml_score"](spark, str(tmp_path)).collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr) and len(found) > 10_000
