@@ -246,3 +246,27 @@ def test_corrupt_blob_yields_one_error_row(spark):
     blobs = spark.createDataFrame([("x", b"junk")], ARCHIVE_BLOBS)
     found = unpack_blobs(blobs).collect()
     assert len(found) == 1 and found[0].error and found[0].file_name is None
+
+
+def test_batches_for_python_are_bounded(spark):
+    """Archives and texts that go to Python come a few at a time, whatever the partition holds."""
+    for name in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{name}")
+    content = F.lit("x" * (1 << 20)).cast("binary").alias("content")
+    blobs = spark.range(0, 40, 1, 1).select(F.concat(F.lit("a"), F.col("id").cast("string")).alias("path"), content)
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    unpack_blobs(blobs)
+    held = [row.n for row in blobs.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(held) == 40 and max(held) <= 10
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 12, 1, 1).select(F.col("id").alias("doc_id"), F.lit("x" * (1 << 20)).alias("text"))
+    spoilt = corpus.damaged(docs)
+    held = [row.n for row in spoilt.mapInArrow(sizes, "n bigint").collect()]
+    assert sum(held) == 12 and max(held) <= 10
