@@ -317,6 +317,50 @@ def test_bounded_files(spark, tmp_path):
     assert sorted(row[1] for row in per_file.collect()) == [100, 300, 300, 300]
 
 
+def test_bounded_files_without_checksum_files(spark, tmp_path):
+    """Neither an earlier table's files of checksums stay, nor does the next table lack its own."""
+    path = tmp_path / "t"
+    sums_beside, found = [], []
+    for with_sums, n in ((True, 1000), (False, 900), (True, 800)):
+        sinks.write_table(spark.range(n).coalesce(1), str(path), 300, checksum_files=with_sums)
+        names = [file.name for file in path.iterdir()]
+        sums_beside.append(sum(name.endswith(".crc") for name in names))
+        found.append((sum(name.endswith(".parquet") for name in names), rows(spark.read.parquet(str(path)))))
+    assert sums_beside == [5, 0, 4]
+    assert found == [(n_files, rows(spark.range(n))) for n_files, n in ((4, 1000), (3, 900), (3, 800))]
+
+
+def test_pages_without_checksum_files_still_tell_damage(spark, tmp_path):
+    path = tmp_path / "t"
+    texts = spark.range(14).select(F.sha2(F.col("id").cast("string"), 512).alias("word")).coalesce(1)
+    sinks.write_table(texts, str(path), 7, checksum_files=False)
+    spoilt, _ = sorted(path.glob("*.parquet"))
+    data = bytearray(spoilt.read_bytes())
+    data[data.index(texts.first().word[:40].encode()) + 20] ^= 1
+    spoilt.write_bytes(data)
+    told = [row.part for row in tables.unreadable_parts(spark, str(path), texts.schema).collect()]
+    assert [part.rsplit("/", 1)[1] for part in told] == [spoilt.name]
+
+
+def test_other_storages_keep_their_writer(spark, tmp_path):
+    """Neither a path that is not on a local disk nor a session's own class for local files is touched."""
+    conf, path = spark._jsc.hadoopConfiguration(), str(tmp_path / "t")
+    assert storage.without_checksum_files(spark, path)
+    link = "fs.viewfs.mounttable.sums.link./in"
+    conf.set(link, f"file://{tmp_path}")
+    try:
+        assert storage.without_checksum_files(spark, "viewfs://sums/in/t") == {}
+        sinks.write_table(spark.range(3), "viewfs://sums/in/t", 2, checksum_files=False)
+        assert rows(spark.read.parquet(path)) == [(0,), (1,), (2,)]
+    finally:
+        conf.unset(link)
+    conf.set("fs.file.impl", "org.apache.hadoop.fs.LocalFileSystem")
+    try:
+        assert storage.without_checksum_files(spark, path) == {}
+    finally:
+        conf.unset("fs.file.impl")
+
+
 def test_dated_rerun_replaces_its_own_date_only(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_dated(spark.range(5), path, "2024-01-30")

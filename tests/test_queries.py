@@ -1,11 +1,14 @@
 """Every registered query against its SQL."""
 
+import pathlib
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from patentflow.plans.oracles import ORACLES
 from patentflow.plans.queries import QUERIES, energy_patents
+from patentflow.storage import scratch_root
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
@@ -49,3 +52,11 @@ def test_scores_of_folders_of_thousands(spark, tmp_path):
         expected = duck.sql(ORACLES["ml_score"]).fetchall()
     found = [tuple(row) for row in QUERIES["ml_score"](spark, str(tmp_path)).collect()]
     assert sorted(found, key=repr) == sorted(expected, key=repr) and len(found) > 10_000
+
+
+def test_files_of_a_few_rows_have_no_files_of_checksums(spark, sf_dir):
+    root = pathlib.Path(scratch_root(spark))
+    before = set(root.glob("*"))
+    assert QUERIES["sink_bounded_files"](spark, sf_dir).first().is_split
+    names = [file.name for folder in set(root.glob("*")) - before for file in folder.iterdir()]
+    assert len(names) > 28 and not [name for name in names if name.endswith(".crc")]
