@@ -134,6 +134,9 @@ def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
     `requests` (tree, idx) asks for some leaves alone. All requests that share the first digits of their
     rank descend as one, so a record is read once for all below it, and the long paths are joined to whole runs of
     sixteen leaves. A manifest without a root gives no rows.
+
+    Nodes on their way down are never broadcast: Spark takes sixteen children for one row and a path for one pair, so
+    it would send tables far above its threshold through the driver. Such joins are asked to be merged.
     """
     spark = manifest.spark
     leaves = manifest.leaves()
@@ -149,7 +152,7 @@ def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
     names = manifest.subroots().select("idx", F.col("name").alias("tree"), "depth")
     if requests is not None:
         names = names.join(requests, "tree", "left_semi")
-    entering = frontier.join(names, "idx").select("tree", "depth", "digest", "path")
+    entering = frontier.hint("merge").join(names, "idx").select("tree", "depth", "digest", "path")
     entering = stage(entering.withColumn("subroot", F.col("digest")).withColumn("idx", F.lit(0).cast("bigint")))
     kept = ["tree", "idx", "subroot", "digest", "path"]
 
@@ -163,13 +166,13 @@ def prove(manifest: Manifest, requests: DataFrame | None = None) -> DataFrame:
 
     alone = entering.where("depth = 0").select("tree", "idx", "subroot", "path", F.array("digest").alias("children"))
     if manifest.depth:
-        runs = frontier.join(manifest.records("source", 1), "digest")
+        runs = frontier.hint("merge").join(manifest.records("source", 1), "digest")
         runs = runs.select("tree", "idx", "subroot", "path", "children")
         runs = runs.unionByName(alone)
     else:
         runs = alone
     runs = runs.withColumnRenamed("idx", "run")
-    found = leaves.withColumn("run", F.shiftright("idx", FAN_BITS)).join(runs, ["tree", "run"])
+    found = leaves.withColumn("run", F.shiftright("idx", FAN_BITS)).join(runs.hint("merge"), ["tree", "run"])
     own = _segment(F.col("children"), F.col("idx").bitwiseAND(FAN - 1).cast("int"))
     down = F.when(F.col("size") > 1, F.concat("path", F.array(own))).otherwise(F.col("path"))
     columns = [*leaves.columns, "subroot", F.lit(manifest.root).alias("root"), F.reverse(down).alias("path")]
@@ -187,7 +190,7 @@ def _segment(children: Column, digit: Column) -> Column:
 
 def _children(frontier: DataFrame, records: DataFrame, kept: list[str]) -> DataFrame:
     """One level down: each child with its own rank, its digest and the path that led to it."""
-    opened = frontier.join(records, "digest").drop("digest")
+    opened = frontier.hint("merge").join(records, "digest").drop("digest")
     taken = opened.select(*kept, "path", "children", F.posexplode("children").alias("digit", "digest"))
     idx = F.shiftleft("idx", FAN_BITS) + F.col("digit")
     path = F.concat("path", F.array(_segment(F.col("children"), F.col("digit"))))

@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from helpers import plan
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -246,6 +247,15 @@ def test_some_leaves_are_proven_alone(spark):
     assert len(found) == 5 and all(everything[r.tree, r.idx].asDict(True) == r.asDict(True) for r in found)
 
 
+@pytest.mark.parametrize("case", ["levels", "sources"])
+def test_nodes_on_their_way_down_are_not_broadcast(spark, case):
+    """Spark takes sixteen children for one row, so below its threshold it would send any number of paths."""
+    rows = leaves_of(CASES[case])
+    manifest = merkle.build_manifest(spark.createDataFrame(rows, "source string, doc_id bigint, leaf string"))
+    found = plan(merkle.prove(manifest))
+    assert "SortMergeJoin" in found and "BroadcastHashJoin" not in found
+
+
 def test_leaves_of_odd_documents(spark):
     docs = [(1, "s", "en", 3, "abc"), (1, "s", "en", 3, "abc"), (None, None, None, None, None), (2, None, "", 0, "É"), (1, "s", "en", 3, "ABC")]
     table = spark.createDataFrame(docs, "doc_id bigint, source string, lang string, n_chars bigint, text string")
