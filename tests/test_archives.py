@@ -61,6 +61,45 @@ def test_listing_reads_no_content(spark, tmp_path):
     assert "ReadSchema: struct<path:string,length:bigint>" in plan(listed)
 
 
+def test_many_archives_are_not_listed_on_the_driver(spark, tmp_path):
+    """Spark's listing holds every file of a folder on the driver."""
+    for i in range(1100):
+        (tmp_path / f"{i}.tar").touch()
+    listed = list_archives(spark, str(tmp_path), "*7.tar")
+    assert "FileScan" not in plan(listed) and "ReadSchema" not in plan(listed)
+    assert sorted(map(tuple, listed.collect())) == sorted((f"file://{tmp_path}/{i}.tar", 0) for i in range(7, 1100, 10))
+
+
+ODD_NAMES = ["a b.tar", "c%41.tar", "é.tar", "br{a}.tar", "x,y.tar", "new\nline.tar", "_k=v/i.tar", "li st/deep/i.tar"]
+HIDDEN_NAMES = ["_h.tar", ".d.tar", "m._COPYING_", "_f/i.tar", ".git/i.tar"]
+
+
+@pytest.mark.parametrize("glob", ["*", "*.tar", "{a,c}*", "?*[br].tar", "[!a]*.tar", "a b.tar", "*.tgz"])
+def test_tasks_list_what_spark_lists(spark, tmp_path, glob):
+    for name in [*ODD_NAMES, *HIDDEN_NAMES, "note.txt"]:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    (tmp_path / "none").mkdir()
+    (tmp_path / "empty.tar").touch()
+    (tmp_path / "_metadata").touch()
+    (tmp_path / "link").symlink_to(tmp_path / "li st")
+    (tmp_path / "broken.tar").symlink_to(tmp_path / "nothing")
+    for folder in (tmp_path, f"file:{tmp_path}/", tmp_path / "li st"):
+        by_tasks, by_spark = (list_archives(spark, str(folder), glob, files) for files in (0, 1000))
+        assert "MapInArrow" in plan(by_tasks) and "MapInArrow" not in plan(by_spark)
+        assert rows(by_tasks) == rows(by_spark)
+    assert rows(list_archives(spark, str(tmp_path / "none"), glob, 0)) == []
+
+
+def test_entries_of_other_storages(tmp_path, monkeypatch):
+    for name in ["a.tar", "sub/b.tar", "sub/_h.tar"]:
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(name)
+    store = tar.fs.SubTreeFileSystem(str(tmp_path), tar.fs.LocalFileSystem())
+    monkeypatch.setattr(tar, "locate", lambda path: (store, path.removeprefix("s3://")))
+    assert sorted(tar.files_below("s3:///")) == [("s3:////a.tar", 5), ("s3:////sub/b.tar", 9)]
+
+
 def many_files(count=600):
     return [(f"EP/{i:04d}{'x' * (i % 130)}.xml", f"<doc>{i}</doc>" * (i % 40)) for i in range(count)]
 
